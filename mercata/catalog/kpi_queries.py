@@ -90,7 +90,7 @@ def rank_three_ways(t: Roles) -> DataFrame:
 
 
 def _share(rate: str) -> str:
-    return f"(1 - least(coalesce({rate}, 0.0), 100.0) / 100)"
+    return f"(1 - least(coalesce({rate}, CAST(0 AS DOUBLE)), CAST(100 AS DOUBLE)) / 100)"
 
 
 @query(
@@ -103,9 +103,7 @@ def _share(rate: str) -> str:
         k AS (SELECT *, coalesce(Rating, CAST(3 AS DOUBLE)) / 5 * 35 + {_share('cancellation_rate_pct')} * 20 + {_share('late_rate_pct')} * 20
                  + least(CAST(completed_orders AS DOUBLE) / 50, CAST(1 AS DOUBLE)) * 10
                  + least(coalesce(revenue, CAST(0 AS DOUBLE)) / 50000, CAST(1 AS DOUBLE)) * 15 AS score FROM s)
-        SELECT * EXCLUDE (score), floor(score * 100 + CAST(0.5 AS DOUBLE)) / 100 AS composite_performance_score FROM k""".replace(
-        "0.0)", "CAST(0 AS DOUBLE))"
-    ).replace("100.0)", "CAST(100 AS DOUBLE))"),
+        SELECT * EXCLUDE (score), floor(score * 100 + CAST(0.5 AS DOUBLE)) / 100 AS composite_performance_score FROM k""",
 )
 def restaurant_scorecard(t: Roles) -> DataFrame:
     return kpis.restaurant_scorecard(t.orders, t.restaurants)

@@ -17,6 +17,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, **conf: str)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
