@@ -212,7 +212,7 @@ _WEATHER = """SELECT x.WeatherCondition, {avg} AS avg_delivery_minutes, {rain} c
 @query(
     "weather_effect",
     _WEATHER.format(
-        avg=mean_int2("DeliveryTimeMinutes"), rain=mean_money2("x.Rainfall") + " AS avg_rainfall,", rest=_REST, where=f"WHERE {DONE}"
+        avg=mean_int2("DeliveryTimeMinutes"), rain=mean_int2("x.Rainfall") + " AS avg_rainfall,", rest=_REST, where=f"WHERE {DONE}"
     ),
 )
 def weather_effect(t: Roles) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 ROLE_SQL = {
     "m_cities": """
@@ -81,12 +82,12 @@ ROLE_SQL = {
                CAST(l_linenumber AS BIGINT) AS DeliveryRating
         FROM lineitem WHERE l_returnflag = 'R'""",
     "m_weather": """
-        SELECT n_name AS City, CAST(l_shipdate AS DATE) AS Date, CAST(l_quantity AS DECIMAL(8, 2)) AS Temperature,
-               CAST(l_extendedprice AS DECIMAL(12, 2)) AS Rainfall, CAST(l_linenumber AS DECIMAL(8, 2)) AS Humidity,
+        SELECT n_name AS City, CAST(l_shipdate AS DATE) AS Date, CAST(l_quantity AS BIGINT) AS Temperature,
+               CAST(round(l_extendedprice) AS BIGINT) AS Rainfall, CAST(l_linenumber AS BIGINT) AS Humidity,
                l_returnflag AS WeatherCondition
         FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey""",
     "m_traffic": """
-        SELECT (l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey AS TrafficID, n_name AS City,
+        SELECT (l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey * 100 + CAST(l_quantity AS BIGINT) AS TrafficID, n_name AS City,
                CAST(l_shipdate AS DATE) AS Date, (l_partkey % 24) * 3600 AS Time, l_linestatus AS TrafficLevel,
                l_quantity AS AverageSpeed
         FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey""",
@@ -123,6 +124,19 @@ def dec(c: str, kind: str = "decimal(12,2)") -> Column:
     return F.col(c).cast(kind)
 
 
+def hundredths(c: str) -> Column:
+    """A two-place double as a whole number of hundredths: sums stay exact and cheap."""
+    return F.round(F.col(c) * 100).cast("long")
+
+
+def from_units(total: Column, places: int) -> Column:
+    """A whole number of 10^-places units as money."""
+    return (total.cast("decimal(20,0)") / F.lit(10**places).cast("decimal(5,0)")).cast("decimal(18,2)")
+
+
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Roles:
     """Role tables of one data folder; nothing is read before it is asked for."""
 
@@ -131,7 +145,11 @@ class Roles:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One table; its schema is read from the file footer once per process."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @cached_property
     def _places(self) -> DataFrame:
@@ -228,14 +246,14 @@ class Roles:
 
     @cached_property
     def order_sums(self) -> DataFrame:
-        price = dec("l_extendedprice")
+        price = hundredths("l_extendedprice")
         code = F.concat(F.lit("C"), F.min("l_partkey").cast("string"))
         return self.table("lineitem").groupBy(F.col("l_orderkey").alias("OrderID")).agg(
             F.min("l_suppkey").alias("RestaurantID"), F.max("l_suppkey").alias("DeliveryPartnerID"),
             F.sum("l_quantity").cast("long").alias("DeliveryTimeRaw"),
-            F.sum(price).cast("decimal(18,2)").alias("FoodCost"),
-            F.sum(price * dec("l_discount", "decimal(4,2)")).cast("decimal(18,2)").alias("Discount"),
-            F.sum(price * dec("l_tax", "decimal(4,2)")).cast("decimal(18,2)").alias("GST"),
+            from_units(F.sum(price), 2).alias("FoodCost"),
+            from_units(F.sum(price * hundredths("l_discount")), 4).alias("Discount"),
+            from_units(F.sum(price * hundredths("l_tax")), 4).alias("GST"),
             F.count(F.lit(1)).cast("decimal(18,2)").alias("DeliveryFee"),
             F.when(F.min("l_discount") == 0, code).alias("CouponCode"),
         )
@@ -282,14 +300,17 @@ class Roles:
     def weather(self) -> DataFrame:
         return self._shipped.select(
             F.col("n_name").alias("City"), F.col("l_shipdate").cast("date").alias("Date"),
-            dec("l_quantity", "decimal(8,2)").alias("Temperature"), dec("l_extendedprice").alias("Rainfall"),
-            dec("l_linenumber", "decimal(8,2)").alias("Humidity"), F.col("l_returnflag").alias("WeatherCondition"),
+            F.col("l_quantity").cast("long").alias("Temperature"), F.round("l_extendedprice").cast("long").alias("Rainfall"),
+            F.col("l_linenumber").cast("long").alias("Humidity"), F.col("l_returnflag").alias("WeatherCondition"),
         )
 
     @cached_property
     def traffic(self) -> DataFrame:
         return self._shipped.select(
-            ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 10000000 + F.col("l_partkey")).alias("TrafficID"),
+            (
+                (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 10000000 + F.col("l_partkey") * 100
+                + F.col("l_quantity").cast("long")
+            ).alias("TrafficID"),
             F.col("n_name").alias("City"), F.col("l_shipdate").cast("date").alias("Date"),
             (F.col("l_partkey") % 24 * 3600).alias("Time"), F.col("l_linestatus").alias("TrafficLevel"),
             F.col("l_quantity").alias("AverageSpeed"),

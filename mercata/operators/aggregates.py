@@ -27,9 +27,15 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) ->
 
 
 def daily_conditions(df: DataFrame, keys: Sequence[str], measures: Sequence[str], label: str) -> DataFrame:
-    """One row per key: mean of each measure and the most common label (smallest of equals)."""
-    return df.groupBy(*keys).agg(
-        *[average(F.col(m)).alias(m) for m in measures], F.mode(label, True).alias(label)
+    """One row per key: mean of each measure and the most common label (smallest of equals).
+
+    Rows are first summed per key and label, so both steps are plain hash aggregates over sums.
+    """
+    sums = [F.sum(m).alias(f"_s_{m}") for m in measures] + [F.count(m).alias(f"_n_{m}") for m in measures]
+    per_label = df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("_rows"), *sums)
+    vote = F.when(F.col(label).isNotNull(), F.struct(-F.col("_rows"), F.col(label)))
+    return per_label.groupBy(*keys).agg(
+        *[ratio(F.sum(f"_s_{m}"), F.sum(f"_n_{m}")).alias(m) for m in measures], F.min_by(label, vote).alias(label)
     )
 
 

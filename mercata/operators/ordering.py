@@ -124,16 +124,19 @@ def running_by_key(
     order: Sequence[Column],
     measures: dict[str, Running],
     hot_rows: int = SLICE_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Running measures per key, in a total order.
+    """Running measures per key, in a total order. ``rows`` may pass on a known row count.
 
     Keys of up to ``hot_rows`` rows use a plain window. Larger keys (there are at most
     rows / hot_rows of them) are cut into ordered slices whose totals are carried forward, so no
     task sorts a whole hot key.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    hot_total = sizes.agg(F.sum("_n")).first()[0]
     columns = df.columns
+    hot_total = None
+    if (df.count() if rows is None else rows) > hot_rows:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+        hot_total = sizes.agg(F.sum("_n")).first()[0]
     if not hot_total:
         return df.select("*", *[c.alias(n) for n, c in _local(measures, keys, order).items()]).select(
             *columns, *_finish(measures)
@@ -222,7 +225,13 @@ def rank_within(
     distinct values give DENSE_RANK. So equal values never force one task to hold a group.
     """
     down = F.col(value).desc_nulls_first()
-    numbered = running_by_key(df, keys, [down, F.col(tie).asc()], {"row_num": Running("count")}, hot_rows)
+    rows = df.count()
+    if rows <= hot_rows:
+        by_value = Window.partitionBy(*keys).orderBy(down)
+        by_row = Window.partitionBy(*keys).orderBy(down, F.col(tie).asc())
+        ranks = {"row_num": F.row_number().over(by_row), "rank_num": F.rank().over(by_value), "dense_rank_num": F.dense_rank().over(by_value)}
+        return df.select("*", *[r.cast("long").alias(n) for n, r in ranks.items()])
+    numbered = running_by_key(df, keys, [down, F.col(tie).asc()], {"row_num": Running("count")}, hot_rows, rows)
     values = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rows"))
     placed = running_by_key(
         values, keys, [down], {"rank_num": Running("sum", "_rows"), "dense_rank_num": Running("count")}, hot_rows

@@ -27,7 +27,9 @@ def delivered_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def prior_history(facts: DataFrame, key: str, prefix: str, spend: bool = False, hot_rows: int = SLICE_ROWS) -> DataFrame:
+def prior_history(
+    facts: DataFrame, key: str, prefix: str, spend: bool = False, hot_rows: int = SLICE_ROWS, rows: int | None = None
+) -> DataFrame:
     """Per order: count, mean minutes (and spend) of strictly earlier orders of the same key."""
     measures = {
         f"{prefix}PriorOrderCount": Running("count"),
@@ -38,14 +40,15 @@ def prior_history(facts: DataFrame, key: str, prefix: str, spend: bool = False,
         measures[f"{prefix}PriorSpend"] = Running("sum", "FinalAmount")
         columns.append("FinalAmount")
     order = [F.col("OrderTimestamp").asc(), F.col("OrderID").asc()]
-    return running_by_key(facts.select(*columns), [key], order, measures, hot_rows).select("OrderID", *measures)
+    return running_by_key(facts.select(*columns), [key], order, measures, hot_rows, rows).select("OrderID", *measures)
 
 
 def with_history(facts: DataFrame, hot_rows: int = SLICE_ROWS) -> DataFrame:
     """All history features. The windows move narrow rows; the wide row is shuffled once, by order id."""
+    rows = facts.count()
     out = facts
     for key, prefix in HISTORY_KEYS:
-        out = out.join(prior_history(facts, key, prefix, key == "CustomerID", hot_rows), "OrderID")
+        out = out.join(prior_history(facts, key, prefix, key == "CustomerID", hot_rows, rows), "OrderID")
     return out
 
 

@@ -593,21 +593,27 @@ def city_kpi_refresh(orders: DataFrame, restaurants: DataFrame, refreshed: Colum
 # Measures, charts, dashboard ---------------------------------------------------------------------
 
 
-def measures(orders: DataFrame, feedback: DataFrame, by: Sequence[str] = (), month: str | None = None) -> DataFrame:
+def measures(
+    orders: DataFrame, feedback: DataFrame, by: Sequence[str] = (), month: str | None = None, repeated: bool = False
+) -> DataFrame:
     """Fourteen measures over any grouping columns of the orders.
 
+    Orders are counted once each: rows of the orders table are distinct orders already, and a frame
+    in which a join ``repeated`` them is counted by distinct id.
+
     With ``month`` (a month-start column, also part of ``by``) the previous calendar month is
     joined: a month without data has no previous revenue, and growth is then 0.
     """
     by = list(by)
     done, status, order = _done(), F.col("OrderStatus"), F.col("OrderID")
     minutes = F.when(done, F.col("DeliveryTimeMinutes"))
+    tally = F.count_distinct if repeated else F.count
     base = orders.groupBy(*by).agg(
-        F.count_distinct(order).alias("total_orders"),
-        F.count_distinct(F.when(done, order)).alias("completed_orders"),
-        F.count_distinct(F.when(status == CANCELLED, order)).alias("cancelled_orders"),
-        F.count_distinct(F.when(status == LATE, order)).alias("late_orders"),
-        F.count_distinct(F.when(F.col("CouponCode").isNotNull(), order)).alias("coupon_orders"),
+        tally(order).alias("total_orders"),
+        tally(F.when(done, order)).alias("completed_orders"),
+        tally(F.when(status == CANCELLED, order)).alias("cancelled_orders"),
+        tally(F.when(status == LATE, order)).alias("late_orders"),
+        tally(F.when(F.col("CouponCode").isNotNull(), order)).alias("coupon_orders"),
         F.sum(F.when(done, F.col("FinalAmount"))).alias("_revenue"),
         average(minutes).alias("average_delivery_minutes"),
     )
