@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.joins import broadcast_if_small
+
 ROLE_SQL = {
     "m_cities": """
         SELECT CAST(n_nationkey AS BIGINT) AS CityID, n_name AS City, r_name AS Region
@@ -135,6 +137,7 @@ def from_units(total: Column, places: int) -> Column:
 
 
 _SCHEMAS: dict[str, StructType] = {}
+_ROWS: dict[str, int] = {}
 
 
 class Roles:
@@ -151,10 +154,21 @@ class Roles:
             _SCHEMAS[path] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
+    def _dimension(self, df: DataFrame, name: str) -> DataFrame:
+        """A role with one row per row of a base table; broadcast only if that table is small.
+
+        The count comes from the file footers.
+        """
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _ROWS:
+            _ROWS[path] = self.table(name).count()
+        return broadcast_if_small(df, _ROWS[path])
+
     @cached_property
     def _places(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
-        return nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
+        named = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
+        return self._dimension(named, "nation")
 
     @cached_property
     def cities(self) -> DataFrame:
@@ -171,12 +185,13 @@ class Roles:
     @cached_property
     def customers(self) -> DataFrame:
         c = self.table("customer")
-        return c.join(self._places, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        named = c.join(self._places, F.col("c_nationkey") == F.col("n_nationkey")).select(
             F.col("c_custkey").alias("CustomerID"), F.col("c_name").alias("Name"),
             F.floor(F.col("c_acctbal") / 100).cast("long").alias("Age"), F.col("n_name").alias("City"),
             F.col("c_mktsegment").alias("Membership"), F.col("r_name").alias("PreferredCuisine"),
             F.col("c_acctbal").alias("Balance"),
         )
+        return self._dimension(named, "customer")
 
     @cached_property
     def registered_customers(self) -> DataFrame:
@@ -193,21 +208,23 @@ class Roles:
 
     @cached_property
     def restaurants(self) -> DataFrame:
-        return self._suppliers.select(
+        rated = self._suppliers.select(
             F.col("s_suppkey").alias("RestaurantID"), F.col("s_name").alias("RestaurantName"),
             F.col("r_name").alias("Cuisine"), F.col("n_name").alias("City"), self._rating().alias("Rating"),
             dec("s_acctbal").alias("AverageCost"),
         )
+        return self._dimension(rated, "supplier")
 
     @cached_property
     def partners(self) -> DataFrame:
         size = F.abs(F.col("_cents"))
-        return self._suppliers.select(
+        rated = self._suppliers.select(
             F.col("s_suppkey").alias("DeliveryPartnerID"), F.col("s_name").alias("Name"),
             F.col("r_name").alias("VehicleType"), F.col("n_name").alias("City"), self._rating().alias("Rating"),
             F.floor(size / 10000).cast("long").alias("CompletedDeliveries"),
             ((size % 9000).cast("double") / 100).alias("AverageDeliveryTime"),
         )
+        return self._dimension(rated, "supplier")
 
     @cached_property
     def menu(self) -> DataFrame:
@@ -294,7 +311,7 @@ class Roles:
     @cached_property
     def _shipped(self) -> DataFrame:
         towns = self.table("supplier").join(self._places, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
-        return self.table("lineitem").join(towns, F.col("l_suppkey") == F.col("s_suppkey"))
+        return self.table("lineitem").join(self._dimension(towns, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
 
     @cached_property
     def weather(self) -> DataFrame:

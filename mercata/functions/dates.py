@@ -112,6 +112,10 @@ def month_start(date: Column) -> Column:
 
 def epoch_micros(ts: Column) -> Column:
     """Microseconds since 1970 of a zone-free timestamp, independent of the session zone."""
-    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
-    micros = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
-    return ((days * 24 + F.hour(ts)) * 60 + F.minute(ts)) * 60_000_000 + micros
+    since = ts - F.lit("1970-01-01").cast("timestamp_ntz")
+
+    def part(name: str) -> Column:
+        return F.extract(F.lit(name), since)
+
+    minutes = (part("DAY").cast("long") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes * 60_000_000 + F.round(part("SECOND").cast("double") * 1_000_000).cast("long")
