@@ -119,3 +119,9 @@ def epoch_micros(ts: Column) -> Column:
 
     minutes = (part("DAY").cast("long") * 24 + part("HOUR")) * 60 + part("MINUTE")
     return minutes * 60_000_000 + F.round(part("SECOND").cast("double") * 1_000_000).cast("long")
+
+
+def day_micros(date: Column, seconds: Column) -> Column:
+    """``epoch_micros(combine_date_time(date, seconds))`` in plain integer arithmetic."""
+    days = F.datediff(date, F.lit("1970-01-01").cast("date")).cast("long")
+    return (days * 86_400 + seconds) * 1_000_000

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed import CANCELLED, CHURN_HORIZON_DAYS, LATE, TRAFFIC_TOLERANCE_MINUTES
 from ..functions import (
-    average, combine_date_time, distance_km, is_completed, mismatch_null_counts, pct2, present, ratio, tenure_days,
+    average, combine_date_time, day_micros, distance_km, is_completed, mismatch_null_counts, pct2, present, ratio, tenure_days,
     time_part_columns,
 )
 from ..operators.aggregates import basket, daily_conditions
@@ -57,13 +57,14 @@ def nearest_traffic(
 ) -> DataFrame:
     """Per order the traffic reading of the restaurant city nearest in time."""
     readings = traffic.select(
-        F.col("City").alias("RestaurantCity"), combine_date_time(F.col("Date"), F.col("Time")).alias("TrafficTimestamp"),
+        F.col("City").alias("RestaurantCity"), day_micros(F.col("Date"), F.col("Time")).alias("_read"),
         "TrafficID", "TrafficLevel", "AverageSpeed",
     )
+    placed = facts.withColumn("_placed", day_micros(F.col("OrderDate"), F.col("OrderTime")))
     return asof_nearest(
-        facts, readings, "RestaurantCity", "OrderTimestamp", "TrafficTimestamp", ["TrafficLevel", "AverageSpeed"],
+        placed, readings, "RestaurantCity", "_placed", "_read", ["TrafficLevel", "AverageSpeed"],
         "TrafficID", tolerance_minutes * 60, delta="TrafficTimeDeltaMinutes",
-    )
+    ).drop("_placed")
 
 
 def delivery_features(t: Mapping[str, DataFrame], strict_city: bool = False, hot_rows: int = SLICE_ROWS) -> DataFrame:
