@@ -228,8 +228,7 @@ def q_dq_report(t: Roles) -> DataFrame:
     return audit.report(
         [
             audit.rows(t.items, name, ["raw_rows", "duplicate_key_rows", "rows_removed"]),
-            audit.counters(flagged, name, one_pass),
-            audit.counters(flagged, name, {"duplicate_key_rows": F.lit(True), "rows_removed": keep}, sign=-1),
+            audit.counters(flagged, name, one_pass, {"duplicate_key_rows": F.lit(-1), "rows_removed": -keep.cast("int")}),
         ]
     )
 

@@ -19,6 +19,15 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     )
 
 
+def keep_first_counted(df: DataFrame, keys: Sequence[str], order: Column, copies: str) -> DataFrame:
+    """``keep_first`` that also adds how many rows shared the key, so that one pass over the input
+    serves both the clean rows and the audit. ``order`` must never be null."""
+    first = F.min_by(F.struct(*[F.col(c) for c in df.columns]), order)
+    named = {k: F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)}
+    grouped = df.groupBy(*named.values()).agg(first.alias("_row"), F.count(F.lit(1)).alias(copies))
+    return grouped.select("_row.*", copies)
+
+
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: how many rows repeat an earlier key."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

@@ -28,10 +28,14 @@ def sliced(df: DataFrame, rows: int, slice_rows: int, order: Sequence[Column]) -
 
 
 def running_totals(
-    df: DataFrame, order: Sequence[Column], totals: dict[str, Column], slice_rows: int = SLICE_ROWS
+    df: DataFrame, order: Sequence[Column], totals: dict[str, Column], slice_rows: int = SLICE_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Adds, per row, totals over all rows strictly before it. ``order`` must be a total order."""
-    rows = df.count()
+    """Adds, per row, totals over all rows strictly before it. ``order`` must be a total order.
+
+    ``rows`` may pass on a known row count.
+    """
+    rows = df.count() if rows is None else rows
     sums = {name: F.sum(c) for name, c in totals.items()}
     if rows <= slice_rows:
         before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -56,10 +60,11 @@ def running_totals(
 
 
 def global_position(
-    df: DataFrame, order: Sequence[Column], name: str = "position", slice_rows: int = SLICE_ROWS
+    df: DataFrame, order: Sequence[Column], name: str = "position", slice_rows: int = SLICE_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """1-based row number over the whole table."""
-    return running_totals(df, order, {name: F.lit(1)}, slice_rows).withColumn(
+    return running_totals(df, order, {name: F.lit(1)}, slice_rows, rows).withColumn(
         name, (F.col(name) + 1).cast("long")
     )
 
@@ -70,7 +75,7 @@ def ntile(
     """NTILE over the whole table: the first n mod k buckets hold one row more."""
     rows = df.count()
     size, extra = divmod(rows, buckets)
-    placed = global_position(df, order, "_pos", slice_rows)
+    placed = global_position(df, order, "_pos", slice_rows, rows)
     at = F.col("_pos") - 1
     wide = extra * (size + 1)
     tile = F.when(at < wide, F.floor(at / (size + 1))).otherwise(
@@ -158,8 +163,8 @@ def running_by_key(
     at = Window.partitionBy(*parts).orderBy(*order)
     inner = cut.select(
         "*",
-        F.row_number().over(at).alias("_at"),
-        F.lead(F.lit(1)).over(at).isNull().alias("_last"),
+        F.row_number().over(at).alias("_nth_of_slice"),
+        F.lead(F.lit(1)).over(at).isNull().alias("_ends_slice"),
         *[c.alias(n) for n, c in _local(measures, parts, order).items()],
     )
 
@@ -175,9 +180,9 @@ def running_by_key(
         elif m.kind in ("max", "min"):
             edge.append(getattr(F, m.kind)(m.column).alias(f"_e_{n}"))
         elif m.kind == "previous":
-            edge.append(F.max_by(m.column, "_at").alias(f"_e_{n}"))
+            edge.append(F.max_by(m.column, "_nth_of_slice").alias(f"_e_{n}"))
         else:
-            edge.append(F.min_by(m.column, "_at").alias(f"_e_{n}"))
+            edge.append(F.min_by(m.column, "_nth_of_slice").alias(f"_e_{n}"))
     edges = inner.groupBy(*parts).agg(*edge)
     along = Window.partitionBy(*keys).orderBy(SLICE)
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
@@ -210,9 +215,9 @@ def running_by_key(
         elif m.kind == "min":
             whole.append(F.least(n, f"_c_{n}").alias(n))
         elif m.kind == "previous":
-            whole.append(F.when(F.col("_at") == 1, F.col(f"_c_{n}")).otherwise(F.col(n)).alias(n))
+            whole.append(F.when(F.col("_nth_of_slice") == 1, F.col(f"_c_{n}")).otherwise(F.col(n)).alias(n))
         else:
-            whole.append(F.when(F.col("_last"), F.col(f"_c_{n}")).otherwise(F.col(n)).alias(n))
+            whole.append(F.when(F.col("_ends_slice"), F.col(f"_c_{n}")).otherwise(F.col(n)).alias(n))
     return cold.unionByName(joined.select(*columns, *whole))
 
 
