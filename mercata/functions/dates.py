@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .text import stripped
+
 _SEP = r"[-./]"
-_YEAR_FIRST = rf"^(\d{{4}}){_SEP}(\d{{1,2}}){_SEP}(\d{{1,2}})$"
-_YEAR_LAST = rf"^(\d{{1,2}}){_SEP}(\d{{1,2}}){_SEP}(\d{{4}})$"
+_NUMERIC = rf"^(?:\d{{4}}{_SEP}\d{{1,2}}{_SEP}\d{{1,2}}|\d{{1,2}}{_SEP}\d{{1,2}}{_SEP}\d{{4}})$"
 
 # Textual forms accepted when no numeric form applies.
 FALLBACK_FORMATS = (
@@ -20,10 +21,6 @@ FALLBACK_FORMATS = (
 TIME_FORMATS = ("H:mm", "H:mm:ss", "h:mm a", "h:mm:ss a", "h:mma", "h a", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm")
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-
-
 def _built(year: Column, month: Column, day: Column) -> Column:
     text = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
     return F.try_to_date(text, "yyyy-MM-dd")
@@ -35,18 +32,18 @@ def parse_mixed_date(c: Column, day_first: bool = True) -> Column:
     Year-first text is unambiguous. Year-last text is day-month when the first part exceeds 12,
     month-day when the second does, and otherwise follows the policy and is flagged.
     """
-    s = _strip(c.cast("string"))
+    s = stripped(c.cast("string"))
     blank = s.isNull() | (s == "")
-    iso, tail = s.rlike(_YEAR_FIRST), s.rlike(_YEAR_LAST)
-
-    first, second = F.regexp_extract(s, _YEAR_LAST, 1), F.regexp_extract(s, _YEAR_LAST, 2)
-    year = F.regexp_extract(s, _YEAR_LAST, 3)
-    a, b = first.try_cast("int"), second.try_cast("int")
+    numeric = s.rlike(_NUMERIC)
+    parts = F.split(s, _SEP)
+    one, two, three = (F.get(parts, i) for i in range(3))
+    iso = numeric & (F.length(one) == 4)
+    tail = numeric & ~iso
+    a, b = one.try_cast("int"), two.try_cast("int")
     day_month, month_day = tail & (a > 12) & (b <= 12), tail & (b > 12) & (a <= 12)
     unclear = tail & (a <= 12) & (b <= 12)
 
-    dmy, mdy = _built(year, second, first), _built(year, first, second)
-    ymd = _built(*(F.regexp_extract(s, _YEAR_FIRST, i) for i in (1, 2, 3)))
+    dmy, mdy, ymd = _built(three, two, one), _built(three, one, two), _built(one, two, three)
     other = F.coalesce(*(F.try_to_timestamp(s, F.lit(f)) for f in FALLBACK_FORMATS)).cast("date")
 
     date = (
@@ -76,7 +73,7 @@ def parse_mixed_date(c: Column, day_first: bool = True) -> Column:
 
 def parse_time(c: Column) -> Column:
     """Mixed time-of-day text to seconds since midnight, null where it does not parse."""
-    s = F.upper(_strip(c.cast("string")))
+    s = F.upper(stripped(c.cast("string")))
     ts = F.coalesce(*(F.try_to_timestamp(s, F.lit(f)) for f in TIME_FORMATS))
     return (F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)).cast("int")
 

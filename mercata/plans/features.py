@@ -14,6 +14,7 @@ from ..functions import (
 from ..operators.aggregates import basket, daily_conditions
 from ..operators.asof import asof_nearest
 from ..operators.dedupe import keep_first
+from ..operators.joins import lookup
 from ..operators.ordering import SLICE_ROWS, Running, running_by_key
 
 HISTORY_KEYS = (("CustomerID", "Customer"), ("RestaurantID", "Restaurant"), ("DeliveryPartnerID", "Partner"))
@@ -95,8 +96,8 @@ def delivery_features(t: Mapping[str, DataFrame], strict_city: bool = False, hot
         .join(customers, "CustomerID", "left")
         .join(restaurants, "RestaurantID", "left")
         .join(partners, "DeliveryPartnerID", "left")
-        .join(coupons, "CouponCode", "left")
     )
+    x = lookup(x, coupons, "CouponCode")  # most orders carry no coupon
     day, food = F.col("OrderTimestamp").cast("date"), F.col("FoodCost")
     x = x.withColumns(
         {
@@ -113,7 +114,7 @@ def delivery_features(t: Mapping[str, DataFrame], strict_city: bool = False, hot
     )
     weather = daily_conditions(t["weather"], ["City", "Date"], ["Temperature", "Rainfall", "Humidity"], "WeatherCondition")
     weather = weather.withColumnsRenamed({"City": "RestaurantCity", "Date": "OrderDate"})
-    x = nearest_traffic(x.join(weather, ["RestaurantCity", "OrderDate"], "left"), t["traffic"])
+    x = nearest_traffic(lookup(x, weather, ["RestaurantCity", "OrderDate"]), t["traffic"])
     if strict_city:
         x = x.filter((F.col("CustomerRestaurantCityMismatch") == 0) & (F.col("RestaurantPartnerCityMismatch") == 0))
     return x

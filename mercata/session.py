@@ -16,6 +16,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, **conf: str)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.showConsoleProgress", "false")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mercata.operators.asof import asof_nearest
 from mercata.operators.dedupe import duplicate_rows, keep_first
 from mercata.operators.integrity import Parent, children, flag_orphans, orphans, unknown_code_to_null
+from mercata.operators.joins import broadcast_if_small, lookup
 from mercata.operators.metrics import best_threshold, classification_metrics, ranking_metrics, threshold_grid, threshold_table
 from mercata.operators.ordering import Running, global_position, ntile, rank_within, running_by_key, running_totals
 from mercata.operators.pairs import first_distant_pairs
@@ -202,3 +203,25 @@ def test_ranking_metrics_need_both_classes(spark):
     df = spark.createDataFrame([(1, 0.2), (1, 0.9)], "y int, p double")
     got = ranking_metrics(df, "y", "p").first()
     assert got["roc_auc"] is None and got["pr_auc"] is None
+
+
+def test_lookup_spreads_rows_without_a_key(spark):
+    df = spark.createDataFrame([(i, None if i % 3 else "a", i) for i in range(300)], "id int, k string, j int")
+    side = spark.createDataFrame([("a", 0, "x"), (None, 1, "y")], "k string, j int, v string")
+    got = lookup(df, side.select("k", "v"), "k")
+    assert got.columns == ["k", "id", "j", "v"] and got.count() == 300
+    assert got.filter("v = 'x'").count() == 100 and got.filter("v is not null and k is null").count() == 0
+    both = lookup(df, side, ["k", "j"])
+    assert [r["id"] for r in both.filter("v is not null").collect()] == [0]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lookup(df, side.select("k", "v"), "k")._jdf.queryExecution().executedPlan().toString()
+        assert "_salt" in plan and got.count() == 300
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_broadcast_only_within_the_limit(spark):
+    df = spark.range(10)
+    assert "broadcast" in broadcast_if_small(df, 10, 10)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in broadcast_if_small(df, 11, 10)._jdf.queryExecution().logical().toString()
