@@ -41,7 +41,7 @@ def sanitize(t: Roles) -> DataFrame:
 def preprocess(t: Roles) -> DataFrame:
     df = stored(t.orders.select("OrderID", "DeliveryTimeMinutes", "FoodCost", "OrderTime", "PaymentMethod", "CouponCode"), "prep")
     pre = models.fit_preprocessor(df, ["DeliveryTimeMinutes", "FoodCost", "OrderTime"], ["PaymentMethod", "CouponCode"], True)
-    return pre.transform(df).select("OrderID", vector_to_array("features").alias("features"))
+    return pre.transform(df).select("OrderID", F.concat_ws(" ", vector_to_array("features").cast("array<string>")).alias("features"))
 
 
 @query(

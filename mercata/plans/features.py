@@ -44,9 +44,9 @@ def prior_history(
     return running_by_key(facts.select(*columns), [key], order, measures, hot_rows, rows).select("OrderID", *measures)
 
 
-def with_history(facts: DataFrame, hot_rows: int = SLICE_ROWS) -> DataFrame:
+def with_history(facts: DataFrame, hot_rows: int = SLICE_ROWS, rows: int | None = None) -> DataFrame:
     """All history features. The windows move narrow rows; the wide row is shuffled once, by order id."""
-    rows = facts.count()
+    rows = facts.count() if rows is None else rows
     out = facts
     for key, prefix in HISTORY_KEYS:
         out = out.join(prior_history(facts, key, prefix, key == "CustomerID", hot_rows, rows), "OrderID")
@@ -54,9 +54,13 @@ def with_history(facts: DataFrame, hot_rows: int = SLICE_ROWS) -> DataFrame:
 
 
 def nearest_traffic(
-    facts: DataFrame, traffic: DataFrame, tolerance_minutes: int = TRAFFIC_TOLERANCE_MINUTES
+    facts: DataFrame, traffic: DataFrame, tolerance_minutes: int = TRAFFIC_TOLERANCE_MINUTES,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Per order the traffic reading of the restaurant city nearest in time."""
+    """Per order the traffic reading of the restaurant city nearest in time.
+
+    ``rows`` may pass on the known number of orders.
+    """
     readings = traffic.select(
         F.col("City").alias("RestaurantCity"), day_micros(F.col("Date"), F.col("Time")).alias("_read"),
         "TrafficID", "TrafficLevel", "AverageSpeed",
@@ -65,13 +69,16 @@ def nearest_traffic(
     return asof_nearest(
         placed, readings, "RestaurantCity", "_placed", "_read", ["TrafficLevel", "AverageSpeed"],
         "TrafficID", tolerance_minutes * 60, delta="TrafficTimeDeltaMinutes",
+        rows_hint=traffic.count() + (facts.count() if rows is None else rows),
     ).drop("_placed")
 
 
 def delivery_features(t: Mapping[str, DataFrame], strict_city: bool = False, hot_rows: int = SLICE_ROWS) -> DataFrame:
     """One row per delivered order with everything known when it was placed."""
     orders = t["orders"].drop("ItemLines", "TotalQuantity")  # the basket brings both
-    facts = with_history(delivered_orders(orders), hot_rows)
+    delivered = delivered_orders(orders)
+    rows = delivered.count()
+    facts = with_history(delivered, hot_rows, rows)
 
     customers = t["customers"].select(
         "CustomerID", F.col("Age").alias("CustomerAge"), F.col("Gender").alias("CustomerGender"),
@@ -114,7 +121,7 @@ def delivery_features(t: Mapping[str, DataFrame], strict_city: bool = False, hot
     )
     weather = daily_conditions(t["weather"], ["City", "Date"], ["Temperature", "Rainfall", "Humidity"], "WeatherCondition")
     weather = weather.withColumnsRenamed({"City": "RestaurantCity", "Date": "OrderDate"})
-    x = nearest_traffic(lookup(x, weather, ["RestaurantCity", "OrderDate"]), t["traffic"])
+    x = nearest_traffic(lookup(x, weather, ["RestaurantCity", "OrderDate"]), t["traffic"], rows=rows)
     if strict_city:
         x = x.filter((F.col("CustomerRestaurantCityMismatch") == 0) & (F.col("RestaurantPartnerCityMismatch") == 0))
     return x

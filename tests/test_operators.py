@@ -109,8 +109,8 @@ def brute_asof(left, right, tolerance, direction):
 
 
 @pytest.mark.parametrize("direction", ["nearest", "backward", "forward"])
-@pytest.mark.parametrize("slice_seconds", [None, 60, 10**9])
-def test_asof_matches_brute_force(spark, direction, slice_seconds):
+@pytest.mark.parametrize("slice_seconds, hot_rows", [(None, 10**6), (60, 10**6), (10**9, 10**6), (None, 10), (10**6, 100)])
+def test_asof_matches_brute_force(spark, direction, slice_seconds, hot_rows):
     rng = random.Random(11)
     base = datetime(2024, 1, 1)
 
@@ -121,7 +121,7 @@ def test_asof_matches_brute_force(spark, direction, slice_seconds):
     right = [(i, rng.choice(["a", "a", "a", "b"]), instant(), f"v{i}") for i in range(200)]
     l = spark.createDataFrame(left, "lid long, city string, at timestamp_ntz")
     r = spark.createDataFrame(right, "rid long, city string, seen timestamp_ntz, value string")
-    got = asof_nearest(l, r, "city", "at", "seen", ["value"], "rid", 90 * 60, direction, slice_seconds).collect()
+    got = asof_nearest(l, r, "city", "at", "seen", ["value"], "rid", 90 * 60, direction, slice_seconds, hot_rows=hot_rows).collect()
     assert len(got) == len(left)
     assert {x["lid"]: (x["value"], x["TimeDeltaMinutes"]) for x in got} == brute_asof(left, right, 5400, direction)
 
