@@ -219,7 +219,8 @@ def near_classes(
     grouped = stored(groups.join(classes.select("digest", "id", "mark", "n_shingles"), "digest"), "grouped")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text")).alias("t")
-    wanted = grouped.select("digest", "id", "mark").alias("w")
+    # the wanted side grows with the corpus: one plan at every size, and never a broadcast of it
+    wanted = grouped.select("digest", "id", "mark").hint("merge").alias("w")
     found = texts.join(wanted, F.col("t.id").eqNullSafe(F.col("w.id")) & (F.col("t.mark") == F.col("w.mark"))).select("digest", "text")
     tasks = _blocks(grouped, similarity, block).join(stored(found, "group-texts"), "digest")
 
