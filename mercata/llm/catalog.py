@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, near_dedup, packing, quality, token_counts, token_files
+from . import exact_dedup, license_scan, mixing, near_dedup, packing, quality, secret_scan, token_counts, token_files, warc
 from .common import ship, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,37 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit"), "cut_chars")
 
 
+@register("op4_license_scan")
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.train(license_scan.ordinary_paragraphs(docs, "doc_id", "text")))
+
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed value
+_FIVE_BITS = " + ".join(f"{16 >> k} * CAST(bits[5 * i + {k + 1}] AS INTEGER)" for k in range(5))
+
+
+@register(
+    "op5_warc",
+    f"""WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+             d AS (SELECT page_id, octet_length(body) AS payload_bytes, min(page_id) OVER (PARTITION BY body) AS first_id,
+                          CAST(CAST(unhex(sha1(body)) AS BIT) AS VARCHAR) AS bits FROM p)
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('{_BASE32}', CAST(1 + {_FIVE_BITS} AS BIGINT), 1)), '') AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM d""",
+)
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf_dir, "pages")).drop("url")
+
+
+@register("op6_secret_scan")
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = secret_scan.train(secret_scan.labelled_findings(spark))
+    return secret_scan.scan(table(spark, sf_dir, "documents"), model)
+
+
 @register("op7_token_files")
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
