@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import scratch_path, stored
-from .common import null_safe, shuffle_width
+from .common import shuffle_width
 
 ARCHIVE_BYTES = 256 << 20
 BLOCK_LINES = 1000
@@ -113,10 +113,10 @@ def _roles(pages: DataFrame, min_bytes: int) -> DataFrame:
     rows = pages.withColumns({"same": F.sha2("payload", 256), "salt": F.pmod(F.xxhash64("page"), F.lit(SALTS))})
     parts = rows.select("page", "same", "salt").groupBy("same", "salt").agg(F.min("page").alias("least"))
     total = parts.groupBy("same").agg(F.min("least").alias("first"))
-    named = parts.select("same", "salt").join(total, "same").alias("n")
-    r = rows.alias("r")
-    return r.join(named, null_safe("r", "n", ["same", "salt"])).select(
-        "page", "url", "payload", "r.same", "r.salt", "first", (F.octet_length("payload") >= min_bytes).alias("shared")
+    named = parts.select("same", "salt").join(total, "same")
+    dealt = rows.repartition(shuffle_width(pages.sparkSession), "same", "salt")  # the payloads' one shuffle; the join keeps it
+    return dealt.join(named, ["same", "salt"]).select(
+        "page", "url", "payload", "same", "salt", "first", (F.octet_length("payload") >= min_bytes).alias("shared")
     )
 
 
@@ -155,7 +155,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, archive_by
             out.close()
 
     order = ["same", "salt", F.asc_nulls_last("page"), "url"]
-    ranked = _roles(pages, min_bytes).repartition(shuffle_width(pages.sparkSession), "same", "salt").sortWithinPartitions(*order)
+    ranked = _roles(pages, min_bytes).sortWithinPartitions(*order)
     rows = ranked.select(F.col("page").cast("string").alias("page"), "url", "payload", F.col("first").cast("string").alias("first"), "shared")
     return stored(rows.mapInPandas(write, _ENTRY), "warc-entries")
 
