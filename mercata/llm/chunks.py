@@ -60,7 +60,7 @@ class ChunkEncoder:
     other file is "whole": every text goes to the library as it is.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.tok = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -70,18 +70,25 @@ class ChunkEncoder:
         model = self.tok.model
         self.pieces = Bounded(lambda p: array("I", [t.id for t in model.tokenize(letters_of(p))]).tobytes(), limit)
         self.chunks = Bounded(self._chunk, limit)
+        self.after_space = Bounded(lambda word: self._chunk(" " + word), limit)  # spares a string per word
+        self.line_end = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):  # one piece
+            return self.pieces[chunk.lower() if self.style == "words" else chunk]
         if UNUSUAL.search(chunk):
             return self.whole(chunk)
         return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk.lower() if self.style == "words" else chunk)))
 
     def plain(self, text: str) -> bool:
         """Whether the cutting rules here hold for this text."""
-        return self.style != "whole" and not RARE_SPACE.search(text) and not any(s in text for s in self.specials)
+        if self.style == "whole" or any(s in text for s in self.specials):
+            return False
+        shown = text.replace("\n", " ")
+        return (shown.isascii() and shown.isprintable()) or not RARE_SPACE.search(text)
 
     def ids(self, text: str | None) -> bytes:
         if not text:
@@ -90,8 +97,18 @@ class ChunkEncoder:
             return self.whole(text)
         if self.style == "words":
             return b"".join(map(self.chunks.__getitem__, text.split()))
-        return b"".join(map(self.chunks.__getitem__, SPACED.findall(text)))
+        if any(run in text for run in WIDE_SPACE):
+            return b"".join(map(self.chunks.__getitem__, SPACED.findall(text)))
+        return self.line_end.join(map(self._line, text.split("\n")))
 
+    def _line(self, line: str) -> bytes:
+        """A line of words with single spaces: its first word has none before it."""
+        first, *words = line.split(" ")
+        return (self.chunks[first] if first else b"") + b"".join(map(self.after_space.__getitem__, words))
+
+
+#: White space in which a "spaced" tokenizer's cut depends on what stands around.
+WIDE_SPACE = ("  ", "\n\n", "\n ", " \n", "\t", "\r", "\v", "\f")
 
 #: A chunk of a "spaced" tokenizer: white space and the word after it. A word followed by white space ends a chunk.
 SPACED = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
