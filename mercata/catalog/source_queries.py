@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions import coerce_numeric
+from ..functions import coerce_numeric, coerce_whole
 from ..operators import audit
 from ..plans.domain import COLUMNS
 from ..session import scratch_path
@@ -23,9 +23,8 @@ def scan_csv(t: Roles) -> DataFrame:
     path = scratch_path(t.spark, "csv")
     write_table(t.order_heads.select(*columns), path, "csv")
     raw = read_raw(t.spark, path, columns)
-    numbers = {c: coerce_numeric(F.col(c)) for c in ("OrderID", "CustomerID", "FinalAmount")}
-    return raw.select(*columns).withColumns(numbers).withColumns(
-        {c: F.col(c).cast("long") for c in ("OrderID", "CustomerID")}
+    return raw.select(*columns).withColumns(
+        {"OrderID": coerce_whole(F.col("OrderID")), "CustomerID": coerce_whole(F.col("CustomerID")), "FinalAmount": coerce_numeric(F.col("FinalAmount"))}
     )
 
 

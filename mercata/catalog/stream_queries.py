@@ -11,9 +11,14 @@ from .registry import mean_int2, money, query
 from .roles import Roles
 
 
+#: A backlog is worked off in batches of so many files.
+FILES_PER_TRIGGER = 64
+
+
 def _orders_stream(t: Roles) -> DataFrame:
+    """The orders table, be it one file or a folder of part files."""
     schema = t.table("orders").schema
-    return t.heads_of(counters.read_stream(t.spark, t.folder, schema, "orders.parquet"))
+    return t.heads_of(counters.read_stream(t.spark, f"{t.folder}/orders.parquet*", schema, FILES_PER_TRIGGER))
 
 
 def _run(t: Roles, totals: DataFrame, key: str) -> DataFrame:

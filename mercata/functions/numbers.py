@@ -15,6 +15,15 @@ def coerce_numeric(c: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
+def coerce_whole(c: Column) -> Column:
+    """Text to a whole number, exact over the whole range of long; fractions and other text become null.
+
+    The digits go through decimal(38,10), never through double, which merges neighbours beyond 2^53.
+    """
+    near, exact = coerce_numeric(c), F.trim(c.cast("string")).try_cast("decimal(38,10)")
+    return F.when((near == F.floor(near)) & (exact == F.floor(exact)), exact.try_cast("long"))
+
+
 def out_of_range(c: Column, low: float | None = None, high: float | None = None) -> Column:
     """True where a present value lies outside the closed range."""
     bad = F.lit(False)
@@ -57,11 +66,6 @@ def average(c: Column) -> Column:
     return ratio(F.sum(c), F.count(c))
 
 
-def mean2(c: Column) -> Column:
-    """Mean rounded half up to 2 places."""
-    return ratio2(F.sum(c), F.count(c))
-
-
 def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance on a sphere."""
     phi1, phi2 = F.radians(lat1), F.radians(lat2)

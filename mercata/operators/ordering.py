@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import ratio
 from ..session import pin
@@ -90,7 +90,7 @@ class Running:
     previous / next value."""
 
     kind: str
-    column: str | None = None
+    column: Column | str | None = None
 
 
 def _local(measures: dict[str, Running], parts: Sequence[str], order: Sequence[Column]) -> dict[str, Column]:
@@ -123,6 +123,13 @@ def _finish(measures: dict[str, Running]) -> list[Column]:
     ]
 
 
+def _widest(df: DataFrame, column: Column | str) -> Column:
+    """A decimal with all digits there are, so that the type of its sums does not depend on how they are formed."""
+    column = F.col(column) if isinstance(column, str) else column
+    kind = df.select(column.alias("c")).schema["c"].dataType
+    return column.cast(T.DecimalType(38, kind.scale)) if isinstance(kind, T.DecimalType) else column
+
+
 def running_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -135,9 +142,10 @@ def running_by_key(
 
     Keys of up to ``hot_rows`` rows use a plain window. Larger keys (there are at most
     rows / hot_rows of them) are cut into ordered slices whose totals are carried forward, so no
-    task sorts a whole hot key.
+    task sorts a whole hot key. A sum of decimals is decimal(38, scale) on either way.
     """
     columns = df.columns
+    measures = {n: Running(m.kind, _widest(df, m.column)) if m.kind == "sum" else m for n, m in measures.items()}
     hot_total = None
     if (df.count() if rows is None else rows) > hot_rows:
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)

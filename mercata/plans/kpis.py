@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..fixed import CANCELLED, COMPLETED, DELIVERED, LATE
 from ..functions import (
-    as_money, average, change_pct2, delivery_tier, is_completed, mismatch_null_ignored, month_start, pct2, ratio, ratio2, round2,
+    as_money, average, change_pct2, is_completed, mismatch_null_ignored, month_start, pct2, ratio, ratio2, round2,
 )
 from ..operators.aggregates import rank_by_date, value_counts
 from ..operators.ordering import Running, ntile, rank_within, running_by_key, top_within
@@ -556,11 +556,6 @@ def partner_top_decile(partners: DataFrame, slice_rows: int | None = None) -> Da
     return ntile(base, 10, order, "decile", **options).filter(F.col("decile") == 1)
 
 
-def delivery_tiers(orders: DataFrame) -> DataFrame:
-    minutes = F.col("DeliveryTimeMinutes")
-    return orders.select("OrderID", "DeliveryTimeMinutes", delivery_tier(minutes).alias("delivery_tier"))
-
-
 def order_list(orders: DataFrame, customers: DataFrame, restaurants: DataFrame, limit: int = 100) -> DataFrame:
     """The first orders by id with customer and restaurant names."""
     named = orders.join(customers.select("CustomerID", F.col("Name").alias("customer_name")), "CustomerID").join(

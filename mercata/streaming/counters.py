@@ -15,9 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def read_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet", files_per_trigger: int | None = None
+    spark: SparkSession, folder: str, schema: T.StructType, files_per_trigger: int | None = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    """A stream over a folder of part files, or over what a path with wildcards finds."""
+    reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(folder)
