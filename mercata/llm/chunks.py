@@ -47,10 +47,14 @@ class Bounded(dict):
         self.make, self.limit = make, limit
 
     def __missing__(self, key):
+        value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
         if len(self) >= self.limit:
             self.clear()
-        value = self[key] = self.make(key)
-        return value
+        self[key] = value
 
 
 class ChunkEncoder:

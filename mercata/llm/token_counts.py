@@ -57,6 +57,8 @@ class PrefixCounter:
         self.left_edge = Bounded(lambda t: self._edge(t, 0), limit)
         self.right_edge = Bounded(lambda t: self._edge(t, 1), limit)
         self.stands = Bounded(self._stands, limit)
+        self.closed = Bounded(None, 2 * limit)  # count by prefix: words share beginnings
+        self.opened = Bounded(None, 2 * limit)  # last token and count by prefix that goes on
         self.pieces = Bounded(self._piece, 2 * limit)
         self.chunks = Bounded(self._chunk, limit)
 
@@ -124,10 +126,15 @@ class PrefixCounter:
             ends.add(at)
         last, counts, out = [""], [0], array("i")
         for end in range(1, len(letters) + 1):
+            prefix = letters[:end]
             if end in ends:
-                out.append(self._last(letters, end, True, last, counts)[1])
+                if prefix not in self.closed:
+                    self.closed.keep(prefix, self._last(letters, end, True, last, counts)[1])
+                out.append(self.closed[prefix])
             if end < len(letters):
-                token, n = self._last(letters, end, False, last, counts)
+                if prefix not in self.opened:
+                    self.opened.keep(prefix, self._last(letters, end, False, last, counts))
+                token, n = self.opened[prefix]
                 last.append(token)
                 counts.append(n)
         return out
