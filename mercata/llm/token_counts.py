@@ -52,15 +52,34 @@ class PrefixCounter:
         self.rank = {pair: i for i, pair in enumerate(merges)}
         self.made_of = {a + b: (a, b, i) for i, (a, b) in reversed(list(enumerate(merges)))}
         self.vocabulary = spec["model"]["vocab"]
-        self.longest = max(len(self.symbols(t)) for t in self.vocabulary)
+        self.open_tails, self.closed_tails = self._tails(False), self._tails(True)
         self.is_whole = Bounded(lambda t: self.merged(self.symbols(t)) == [t], limit)
         self.left_edge = Bounded(lambda t: self._edge(t, 0), limit)
         self.right_edge = Bounded(lambda t: self._edge(t, 1), limit)
-        self.stands = Bounded(self._stands, limit)
-        self.closed = Bounded(None, 2 * limit)  # count by prefix: words share beginnings
-        self.opened = Bounded(None, 2 * limit)  # last token and count by prefix that goes on
+        self.stands = Bounded(self._stands, 2 * limit)
         self.pieces = Bounded(self._piece, 2 * limit)
-        self.chunks = Bounded(self._chunk, limit)
+        self.chunks = Bounded(self._chunk, 2 * limit)
+        self.most_nodes = 3 * limit
+        self._forget()
+
+    def _tails(self, closed: bool) -> dict[str, str]:
+        """Every end of a token's letters; the value is the token itself where the end is the whole of it, or empty."""
+        tails: dict[str, str] = {}
+        for token in self.vocabulary:
+            if token == self.mark or token.endswith(self.mark) != closed:
+                continue
+            body = token[: -len(self.mark)] if closed else token
+            for start in range(1, len(body)):
+                tails.setdefault(body[start:], "")
+            tails[body] = token
+        return tails
+
+    def _forget(self) -> None:
+        """An empty tree of word beginnings, which words share: node 0 is the beginning without letters."""
+        self.child: dict[int, int] = {}  # by node * 512 + letter; letters stand for bytes and lie below 512
+        self.last: list[str | None] = [""]  # last token of the open form, once asked for
+        self.opened: list[int] = [0]  # count of the open form
+        self.closed: list[int] = [0]  # count of the closed form; -1 until asked for
 
     def symbols(self, token: str) -> list[str]:
         """Letters of a token; the end mark belongs to the last letter."""
@@ -110,47 +129,63 @@ class PrefixCounter:
             else:
                 j += 1
 
-    def _last(self, letters: str, end: int, closed: bool, last: list[str], counts: list[int]) -> tuple[str, int]:
-        """The last token of letters[:end] and the count of tokens."""
-        for size in range(min(end, self.longest), 0, -1):
-            token = letters[end - size : end] + (self.mark if closed else "")
-            if token in self.vocabulary and self.is_whole[token] and (size == end or self.stands[last[end - size], token]):
-                return token, (counts[end - size] if size < end else 0) + 1
+    def _last(self, letters: str, end: int, closed: bool, path: list[int]) -> tuple[str, int]:
+        """The last token of letters[:end] and the count of tokens. ``path``: the nodes of the shorter beginnings."""
+        tails, found = self.closed_tails if closed else self.open_tails, []
+        for start in range(end - 1, -1, -1):
+            token = tails.get(letters[start:end])
+            if token is None:
+                break
+            if token:
+                found.append((start, token))
+        for start, token in reversed(found):
+            if self.is_whole[token] and (not start or self.stands[self.last[path[start]], token]):
+                return token, self.opened[path[start]] + 1
         raise ValueError("the vocabulary lacks a byte")
 
-    def _piece(self, piece: str) -> array:
-        """Counts at every character prefix of one piece of the tokenizer's cut."""
-        letters, ends, at = letters_of(piece), set(), 0
-        for c in piece:
-            at += len(c.encode("utf-8"))
-            ends.add(at)
-        last, counts, out = [""], [0], array("i")
-        for end in range(1, len(letters) + 1):
-            prefix = letters[:end]
-            if end in ends:
-                if prefix not in self.closed:
-                    self.closed.keep(prefix, self._last(letters, end, True, last, counts)[1])
-                out.append(self.closed[prefix])
-            if end < len(letters):
-                if prefix not in self.opened:
-                    self.opened.keep(prefix, self._last(letters, end, False, last, counts))
-                token, n = self.opened[prefix]
-                last.append(token)
-                counts.append(n)
-        return out
+    def _piece(self, piece: str) -> bytes:
+        """Change of the count at every character of one piece of the tokenizer's cut, as 16-bit integers."""
+        if len(self.child) >= self.most_nodes:
+            self._forget()
+        child, last, opened, closed = self.child, self.last, self.opened, self.closed
+        letters, ends, at = letters_of(piece), None, 0
+        if len(letters) > len(piece):
+            ends = set()
+            for c in piece:
+                at += len(c.encode("utf-8"))
+                ends.add(at)
+        node, path, before, out = 0, [0], 0, array("h")
+        for end, letter in enumerate(letters, 1):
+            key = node << 9 | ord(letter)
+            node = child.get(key, 0)
+            if not node:
+                node = child[key] = len(last)
+                last.append(None)
+                opened.append(0)
+                closed.append(-1)
+            if ends is None or end in ends:
+                count = closed[node]
+                if count < 0:
+                    count = closed[node] = self._last(letters, end, True, path)[1]
+                out.append(count - before)  # raises beyond 16 bits
+                before = count
+            if end < len(letters) and last[node] is None:
+                last[node], opened[node] = self._last(letters, end, False, path)
+            path.append(node)
+        return out.tobytes()
+
+    def _contraction(self, piece: str) -> bytes:
+        """A part of a contraction is cut otherwise than the whole: the apostrophe, then letters."""
+        counts = [0, *(1 + sum(array("h", self.pieces[piece[1:i]])) if i > 1 else 1 for i in range(1, len(piece)))]
+        counts.append(sum(array("h", self.pieces[piece])))
+        return array("h", map(sub, counts[1:], counts)).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         """Changes of the count along a run without white space, as 16-bit integers."""
-        counts, base = [0], 0
-        for piece in self.pattern.findall(chunk):
-            own = self.pieces[piece]
-            if piece in _CONTRACTIONS:  # a part of one is cut otherwise: the apostrophe, then letters
-                own = [1 if i == 1 else 1 + self.pieces[piece[1:i]][-1] for i in range(1, len(piece))] + [own[-1]]
-            counts += [base + n for n in own] if base else own
-            base = counts[-1]
-        if len(counts) != len(chunk) + 1:
+        out = b"".join([self._contraction(p) if p in _CONTRACTIONS else self.pieces[p] for p in self.pattern.findall(chunk)])
+        if len(out) != 2 * len(chunk):
             raise ValueError("a character belongs to no piece")
-        return array("h", map(sub, counts[1:], counts)).tobytes()  # raises beyond 16 bits
+        return out
 
     def _segment(self, text: str) -> bytes:
         """Steps of a text without special tokens."""
