@@ -1,11 +1,13 @@
 """Licence notices in texts, paragraph by paragraph, by a trained classifier and a comparison with templates.
 
-A paragraph is a line with a word. Its features are its words, pairs and triples of words, hashed to ``BUCKETS`` and
+A paragraph is a line with a word. It is scored as a whole and in overlapping windows of ``WINDOWS`` words, so that a
+notice counts the same in a long line as in a short one. The features of a window are its words, pairs and triples of words, hashed to ``BUCKETS`` and
 scaled by the root of their number; a multinomial logistic regression gives a probability to every licence family
 and to "unknown". It is trained on the templates below in many damaged forms and on ordinary paragraphs: sentences of
 no licence, and paragraphs of the corpus that share little with any template. A temperature found on held-out
 paragraphs makes the probabilities honest, and a family is named only if it is likelier than ``threshold``. A named
-family is confirmed if the paragraph and one of the family's sentences share most of their word triples.
+family is confirmed if the words around the window and one of the family's sentences share most of their word triples.
+Every family of a paragraph is reported, but the same words speak for one family only, the one they fit best.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from .common import WordHash, mix, ngram_hashes
 BUCKETS = 1 << 12
 UNKNOWN = "unknown"
 THRESHOLD, CONFIRM = 0.5, 0.6
+#: Words in a window and from one window to the next, words compared on either side, and words scored at a time.
+WINDOWS, AROUND, BLOCK = ((8, 4), (24, 12), (64, 32)), 64, 1 << 16
 #: Ordinary paragraphs are taken from at most so many documents, those of smallest hash, and so many characters of each.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS = 400, 4000
 
@@ -124,14 +128,79 @@ class Model:
     held_out_accuracy: float
 
 
-def probabilities(model: Model, paragraphs: list[list[bytes]], hashes: WordHash) -> np.ndarray:
-    """(paragraph, family) probabilities; every paragraph has a word."""
+def windows(size: int) -> np.ndarray:
+    """(window, 2): first word and end of the whole and of every window of a paragraph of ``size`` words."""
+    out = [np.array([[0, size]])]
+    for width, step in WINDOWS:
+        if size > width:
+            first = np.minimum(np.arange(0, size - width + step, step), size - width)
+            out.append(np.stack([first, first + width], axis=1))
+    return np.concatenate(out)
+
+
+def probabilities(model: Model, paragraphs: list[list[bytes]], hashes: WordHash) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(paragraph, first word, end) of every window, and its (window, family) probabilities; every paragraph has a word."""
     found = [(grams(words, hashes) & np.uint64(BUCKETS - 1)).astype(np.int64) for words in paragraphs]
-    sizes = np.array([len(f) for f in found])
-    sums = np.add.reduceat(model.weights[np.concatenate(found)], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
-    logits = (sums / np.sqrt(sizes)[:, None] + model.bias) / model.temperature
+    cuts = [windows(len(words)) for words in paragraphs]
+    of = np.repeat(np.arange(len(paragraphs)), [len(c) for c in cuts])
+    first, end = np.concatenate(cuts).T
+    size = np.array([len(words) for words in paragraphs])[of]
+    start = np.concatenate([[0], np.cumsum([len(f) for f in found])[:-1]]).astype(np.int64)[of]
+    so_far = np.zeros((sum(len(f) for f in found) + 1, len(model.families)))
+    np.cumsum(model.weights[np.concatenate(found)], axis=0, out=so_far[1:])
+    sums, counts = np.zeros((len(of), len(model.families))), np.zeros(len(of))
+    for n in (1, 2, 3):  # a paragraph's words, pairs and triples follow one another
+        low, high = start + first, start + np.maximum(end - n + 1, first)
+        sums, counts = sums + so_far[high] - so_far[low], counts + high - low
+        start = start + np.maximum(size - n + 1, 0)
+    logits = (sums / np.sqrt(counts)[:, None] + model.bias) / model.temperature
     odds = np.exp(logits - logits.max(axis=1, keepdims=True))
-    return odds / odds.sum(axis=1, keepdims=True)
+    return of, np.stack([first, end], axis=1), odds / odds.sum(axis=1, keepdims=True)
+
+
+def blocks(text: bytes) -> Iterator[list[tuple[int, int, list[bytes]]]]:
+    """Lists of (line, first word, words) of at most about ``BLOCK`` words; parts of a longer line overlap."""
+    out, held = [], 0
+    for i, line in enumerate(text.split(b"\n")):
+        words = plain_words(line)
+        for at in range(0, max(len(words) - AROUND, 1) if words else 0, BLOCK - AROUND):
+            part = words[at : at + BLOCK]
+            out.append((i, at, part))
+            held += len(part)
+            if held >= BLOCK:
+                yield out
+                out, held = [], 0
+    if out:
+        yield out
+
+
+def findings(model: Model, text: bytes, known: dict[str, list[set[int]]], hashes: WordHash, threshold: float) -> list[tuple[int, str, float, float]]:
+    """line, family, probability, overlap: the families of every line, each once."""
+    named: dict[int, list[tuple[float, float, int, str, set[int], bool]]] = {}
+    for block in blocks(text):
+        of, spans, chances = probabilities(model, [words for _, _, words in block], hashes)
+        best = chances.argmax(axis=1)
+        for w in np.flatnonzero((best != len(model.families) - 1) & (chances.max(axis=1) >= threshold)):
+            (line, at, words), (first, end), family = block[of[w]], spans[w].tolist(), model.families[best[w]]
+            low = max(0, first - AROUND)
+            near = words[low : end + AROUND]
+            size = min(3, len(near))
+            have = ngram_hashes(hashes.of(near), size).tolist()
+            own = set(have)
+            overlap, k = max(((len(own & k) / min(len(k), max(len(own), 1)), k) for k in known[family]), key=lambda x: x[0])
+            fits = {at + low + j + m for j, h in enumerate(have) if h in k for m in range(size)}
+            named.setdefault(line, []).append((overlap, float(chances[w, best[w]]), end - first, family, fits or set(range(at + first, at + end)), bool(fits)))
+    out = []
+    for line, found in sorted(named.items()):
+        taken: set[int] = set()
+        given: set[str] = set()
+        for overlap, chance, _, family, covers, fits in sorted(found, key=lambda f: (-f[0], -f[1], f[2], f[3])):
+            if family in given or len(covers & taken) > (len(covers) // 2 if fits else 0):
+                continue
+            given.add(family)
+            taken |= covers
+            out.append((line, family, chance, overlap))
+    return out
 
 
 def ordinary_paragraphs(docs: DataFrame, id_col: str, text_col: str) -> list[str]:
@@ -149,12 +218,17 @@ def train(corpus: list[str], seed: int = 4, forms: int = 24, steps: int = 150) -
     ordinary = [w for w in lines if w and all(len(triples(w, hashes) & k) < 0.3 * len(k) for k in known)]
     filler = [w for words in ordinary[:200] for w in words] or [b"of", b"and", b"to"]
     examples: list[tuple[list[bytes], int]] = [(w, len(families) - 1) for w in ordinary[:1500]]
+    for words in ordinary[:1500]:
+        for width, _ in WINDOWS:
+            if len(words) > width:
+                at = int(rng.integers(len(words) - width + 1))
+                examples.append((words[at : at + width], len(families) - 1))
     for label, family in enumerate(TEMPLATES):
         for template in TEMPLATES[family]:
             words = plain_words(template.encode())
             for k in range(forms):
                 kept = [w for w in words if k < 3 or rng.random() > 0.08]
-                around = [[filler[int(i)] for i in rng.integers(len(filler), size=rng.integers(0, 6) if k % 3 else 0)] for _ in range(2)]
+                around = [[filler[int(i)] for i in rng.integers(len(filler), size=rng.integers(0, (1, 6, AROUND // 2)[k % 3]))] for _ in range(2)]
                 examples.append((around[0] + (kept or words) + around[1], label))
     for other in OTHERS:
         words = plain_words(other.encode())
@@ -187,7 +261,7 @@ def train(corpus: list[str], seed: int = 4, forms: int = 24, steps: int = 150) -
 
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, confirm: float = CONFIRM) -> DataFrame:
-    """id, line (from 0), family, probability, overlap, confirmed: one row per paragraph to which a family is given.
+    """id, line (from 0), family, probability, overlap, confirmed: one row per paragraph and family given to it.
 
     Null and empty texts have no paragraph; texts are read whole; repeated rows give repeated findings.
     """
@@ -197,19 +271,10 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = WordHash()
         for frame in frames:
-            out = []
-            for name, text in zip(frame["id"], frame["text"]):
-                lines = [(i, plain_words(line)) for i, line in enumerate((text or "").encode("utf-8").split(b"\n"))]
-                lines = [(i, words) for i, words in lines if words]
-                if not lines:
-                    continue
-                for (i, words), chances in zip(lines, probabilities(model, [w for _, w in lines], own)):
-                    best = int(chances.argmax())
-                    if model.families[best] == UNKNOWN or chances[best] < threshold:
-                        continue
-                    have = triples(words, own)
-                    overlap = max(len(have & k) / min(len(k), max(len(have), 1)) for k in known[model.families[best]])
-                    out.append((name, i, model.families[best], float(chances[best]), overlap, overlap >= confirm))
+            out = [
+                (name, *found, found[-1] >= confirm)
+                for name, text in zip(frame["id"], frame["text"]) for found in findings(model, (text or "").encode("utf-8"), known, own, threshold)
+            ]
             yield pd.DataFrame(out, columns=["id", "line", "family", "probability", "overlap", "confirmed"])
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -424,3 +424,18 @@ def test_secret_scan_finds_every_run_of_a_word(spark):
     assert got[1] == got[3] == {one, two} == sure[1] == sure[3] and got[2] == sure[2] == {plain} and got[4] == sure[4] == {plain, two}
     assert sure[5] == {"lomentaridenvosa"} and len(got[6]) == 4 and not sure[6] and got[7] == {"x1=a1=b2=c3=d4=e5"} and one in got[8]
     assert len({(r["doc_id"], r["word_at"], r["run_at"]) for r in rows}) == len(rows)
+
+
+def test_license_scan_in_long_lines(spark):
+    ship(spark)
+    rng = np.random.default_rng(3)
+    vocabulary = "the cat sat on a mat and looked at moon salad of many kinds ordinary line text bread river was old green house to with for".split()
+    prose = lambda n: " ".join(vocabulary[int(i)] for i in rng.integers(len(vocabulary), size=n))
+    model = license_scan.train([prose(int(n)) for n in rng.integers(3, 200, 200)])
+    mit, gpl, apache = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3.", "Licensed under the Apache License, Version 2.0."
+    gpl_long = license_scan.TEMPLATES["GPL-3.0"][1]
+    texts = [f"{prose(250)} {mit} {prose(250)}", f"{prose(400)} {gpl} {prose(100)} {apache} {prose(30)}", f"{mit} {apache}", f"{prose(70_000)} {gpl_long} {prose(500)}", prose(500)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = license_scan.scan(frame, model).where("confirmed").collect()
+    got = [(r["doc_id"], r["line"], r["family"]) for r in rows]
+    assert sorted(got) == [(0, 0, "MIT"), (1, 0, "Apache-2.0"), (1, 0, "GPL-3.0"), (2, 0, "Apache-2.0"), (2, 0, "MIT"), (3, 0, "GPL-3.0")]
