@@ -1,7 +1,7 @@
 """Model preparation, training, evaluation and batch scoring (J).
 
 Evaluation runs on predictions that are plain arithmetic on the given tables, so that SQL can
-check them. Training runs on the real feature tables with fewer trees than the defaults.
+check them. Training runs on the real feature tables with the real settings.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from .registry import DONE, query, ratio
 from .relational_queries import FACTS_SQL
 from .roles import Roles
 
-SMALL = models.Settings(trees=10, depth=5, boosting_rounds=5, boosting_depth=3, max_iter=50)
-
 
 @query(
     "feature_select",
@@ -146,14 +144,14 @@ def _churn(t: Roles) -> DataFrame:
 
 @query("train_delivery")
 def train_delivery(t: Roles) -> DataFrame:
-    return models.train_delivery(_delivery(t), SMALL)[1]
+    return models.train_delivery(_delivery(t))[1]
 
 
 @query("score_delivery")
 def score_delivery(t: Roles) -> DataFrame:
     """Scores every order; the ones without features appear with no prediction."""
     table = _delivery(t)
-    bundle = models.train_delivery(table, SMALL)[0]
+    bundle = models.train_delivery(table)[0]
     scores = models.score_delivery(bundle, table, t.order_heads)
     missing = models.unknown_ids(t.order_heads, table, "OrderID")
     return scores.unionByName(missing, allowMissingColumns=True)
@@ -161,13 +159,13 @@ def score_delivery(t: Roles) -> DataFrame:
 
 @query("train_churn")
 def train_churn(t: Roles) -> DataFrame:
-    return models.train_churn(_churn(t), SMALL)[1]
+    return models.train_churn(_churn(t))[1]
 
 
 @query("score_churn")
 def score_churn(t: Roles) -> DataFrame:
     table = _churn(t)
-    bundle = models.train_churn(table, SMALL)[0]
+    bundle = models.train_churn(table)[0]
     return models.score_churn(bundle, table, t.customers)
 
 

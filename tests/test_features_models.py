@@ -120,3 +120,25 @@ def test_churn_model(churn):
     scores = models.score_churn(bundle, churn, churn.select("CustomerID"))
     row = scores.first()
     assert row["predicted_churn_60d"] in (0, 1) and scores.count() == churn.count()
+
+
+def test_registered_queries_train_with_the_real_settings(monkeypatch):
+    from mercata.catalog import model_queries
+
+    class Trained(Exception):
+        pass
+
+    used = []
+
+    def trains(df, settings=models.Settings(), *rest, **named):
+        used.append(settings)
+        raise Trained
+
+    for name in ("train_delivery", "train_churn"):
+        monkeypatch.setattr(models, name, trains)
+    for name in ("_delivery", "_churn"):
+        monkeypatch.setattr(model_queries, name, lambda t: None)
+    for run in (model_queries.train_delivery, model_queries.score_delivery, model_queries.train_churn, model_queries.score_churn):
+        with pytest.raises(Trained):
+            run(None)
+    assert used == [models.Settings()] * 4
