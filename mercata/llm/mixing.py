@@ -22,7 +22,7 @@ WEIGHTS = (1, 2, 3)
 MAX_PASSES = 3
 #: Hash buckets in which the documents of one source and length are counted and ranked.
 BUCKETS = 1024
-#: Words that the knapsack programme decides; its table has as many bits.
+#: Bits of the knapsack programme's table: it decides about half as many words, as sums up to twice those are looked at.
 EXACT_WORDS = 1 << 16
 
 
@@ -62,7 +62,7 @@ def exact_fill(counts: dict[int, int], budget: int) -> dict[int, int]:
     that sum s can be made of the parts so far, and ``via`` keeps the part that made s first, which leads back.
     """
     sizes = sorted((n for n, c in counts.items() if n > 0 and c > 0), reverse=True)
-    most = budget + (sizes[-1] if sizes else 0)  # a sum above the budget helps only by less than the shortest
+    most = budget + min(budget, sizes[0] if sizes else 0)  # 0 is always reached, so no sum above twice the budget is nearer
     parts, reach, via, mask = [], 1, {}, (1 << (most + 1)) - 1
     for n in sizes:
         left, copies = min(counts[n], most // n), 1
@@ -86,7 +86,7 @@ def exact_fill(counts: dict[int, int], budget: int) -> dict[int, int]:
 
 
 def fit_budget(counts: dict[int, int], budget: int, exact_words: int = EXACT_WORDS) -> dict[int, int]:
-    """Counts per length whose sum meets ``budget``: evenly over the lengths first, the last ``exact_words`` exactly."""
+    """Counts per length whose sum meets ``budget``: evenly over the lengths first, the last ``exact_words // 2`` or a little more exactly."""
     total = sum(n * c for n, c in counts.items())
     budget = max(0, min(budget, total))
     even, carry, taken = max(0, budget - exact_words // 2), 0, {}

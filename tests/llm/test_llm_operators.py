@@ -439,3 +439,8 @@ def test_license_scan_in_long_lines(spark):
     rows = license_scan.scan(frame, model).where("confirmed").collect()
     got = [(r["doc_id"], r["line"], r["family"]) for r in rows]
     assert sorted(got) == [(0, 0, "MIT"), (1, 0, "Apache-2.0"), (1, 0, "GPL-3.0"), (2, 0, "Apache-2.0"), (2, 0, "MIT"), (3, 0, "GPL-3.0")]
+
+
+def test_exact_fill_takes_a_longer_document_above_the_budget():
+    assert mixing.exact_fill({100: 1, 1: 1}, 60) == {100: 1}
+    assert mixing.exact_fill({100: 1, 1: 1}, 50) == {1: 1} and mixing.exact_fill({100: 1}, 50) == {} and mixing.exact_fill({7: 2}, 0) == {}
