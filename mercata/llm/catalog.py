@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, license_scan, mixing, near_dedup, packing, quality, secret_scan, token_counts, token_files, warc
+from . import balanced_packing, exact_dedup, license_scan, lexical_search, mixing, near_dedup, packing, prefix_trie, quality
+from . import secret_scan, token_counts, token_files, warc
 from .common import ship, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +106,71 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op11_cost_packing")
+def op11_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = balanced_packing.pack_balanced(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return packed.drop("ids")
+
+
+@register(
+    "op12_ranked_search",
+    r"""WITH terms AS (
+          SELECT d.row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x{00}-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+          FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents) d),
+        counts AS (SELECT row, doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+        sizes AS (SELECT row, sum(tf)::BIGINT AS n FROM counts GROUP BY row),
+        whole AS (SELECT count(*) AS all_docs, sum(n)::BIGINT AS all_terms FROM sizes),
+        norms AS (SELECT row, 10 + (90 * n * all_docs) // all_terms AS m FROM sizes, whole),
+        weights AS (SELECT term, floor(1000 * ln((2 * all_docs + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM counts, whole GROUP BY term, all_docs),
+        items AS (SELECT row_number() OVER () AS item, item_id, text FROM benchmark),
+        asked AS (SELECT DISTINCT item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x{00}-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM items),
+        scores AS (SELECT item, item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+                   FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN norms USING (row) GROUP BY ALL),
+        ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scores WHERE score > 0)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
+)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build(table(spark, sf_dir, "documents"))
+    found = lexical_search.search(index, table(spark, sf_dir, "benchmark"), top=10)
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+@register(
+    "op13_prefix_trie",
+    """WITH RECURSIVE
+        t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id
+                     ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+              FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS (SELECT DISTINCT c, c::VARCHAR AS s FROM t),
+        bits(c, s, i, v) AS (
+          SELECT c, s, 0, 4294967295::BIGINT FROM convs
+          UNION ALL
+          SELECT c, s, i + 1, CASE WHEN w & 1 = 1 THEN xor(w >> 1, 3988292384) ELSE w >> 1 END
+          FROM (SELECT c, s, i, CASE WHEN i % 8 = 0 THEN xor(v, ascii(substr(s, i // 8 + 1, 1))::BIGINT) ELSE v END AS w FROM bits WHERE i < 8 * length(s))),
+        plan AS (SELECT c, c - c % 100 AS leader, xor(v, 4294967295) % 6 AS h FROM bits WHERE i = 8 * length(s)),
+        lead AS (SELECT plan.c, plan.h, t.p, t.r, t.x FROM plan JOIN t ON t.c = plan.leader AND t.p <= plan.h),
+        shift AS (SELECT plan.c, any_value(plan.h) AS h, count(lead.p) - any_value(plan.h) AS by_ FROM plan LEFT JOIN lead USING (c) GROUP BY plan.c),
+        turns AS (SELECT c, p AS d, r, x FROM lead
+                  UNION ALL SELECT t.c, t.p + shift.by_ AS d, r, x FROM t JOIN shift ON t.c = shift.c AND t.p > shift.h),
+        steps AS (SELECT c, 0 AS d, '' AS k, 0 AS chars FROM convs
+                  UNION ALL SELECT c, d, sha256(length(r) || ':' || r || x), length(x) FROM turns),
+        inst AS (SELECT c, d, chars, sha256(string_agg(k, ' ') OVER (PARTITION BY c ORDER BY d)) AS node, d = max(d) OVER (PARTITION BY c) AS last FROM steps),
+        nodes AS (SELECT d, node, min(c) AS conv_id, count(*) AS n, any_value(chars) AS chars, bool_and(last) AS leaf,
+                         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE last), '')) AS ends_sha256 FROM inst GROUP BY d, node),
+        up AS (SELECT u.conv_id, u.d, p.conv_id AS parent_conv_id, p.d AS pd FROM nodes u JOIN inst i ON i.c = u.conv_id AND i.d = u.d - 1
+               JOIN nodes p ON p.node = i.node AND p.d = i.d),
+        kids AS (SELECT parent_conv_id AS conv_id, pd AS d, count(*) AS n_children FROM up GROUP BY ALL),
+        below AS (SELECT i.d, i.node, sum(u.leaf::INTEGER)::BIGINT AS n_leaves, sum((u.n - 1) * u.chars)::BIGINT AS saved_tokens
+                  FROM nodes u JOIN inst i ON i.c = u.conv_id AND i.d <= u.d GROUP BY i.d, i.node)
+        SELECT nodes.conv_id, nodes.d::BIGINT AS depth, up.parent_conv_id, n AS n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, ends_sha256
+        FROM nodes JOIN below ON below.d = nodes.d AND below.node = nodes.node LEFT JOIN up ON up.conv_id = nodes.conv_id AND up.d = nodes.d
+             LEFT JOIN kids ON kids.conv_id = nodes.conv_id AND kids.d = nodes.d""",
+)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heads = F.crc32(F.col("conv").cast("string")) % 6
+    turns = prefix_trie.shared_turns(table(spark, sf_dir, "conversations"), heads, F.col("conv") - F.col("conv") % 100, most=5)
+    return prefix_trie.trie(turns)

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = entry_module.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in LLM_QUERIES} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in LLM_QUERIES} and "pipeline" in names
     assert set(LLM_ORACLES) <= set(entry_module.oracle_sql()) and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
