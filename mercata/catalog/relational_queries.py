@@ -8,7 +8,7 @@ from ..functions import average, is_completed, ratio
 from ..operators.aggregates import basket, daily_conditions, histogram, value_counts
 from ..operators.asof import asof_nearest
 from ..operators.integrity import children, orphans
-from ..operators.ordering import global_position
+from ..operators.ordering import by_range, global_position
 from ..plans import kpis
 from ..plans.features import delivered_orders, prior_history
 from .cleaning_queries import _FIRST_ITEMS, first_items
@@ -270,7 +270,7 @@ def q_top_n(t: Roles) -> DataFrame:
 )
 def q_sort_nulls(t: Roles) -> DataFrame:
     order = [F.col("DeliveryTimeMinutes").desc_nulls_last(), F.col("CouponCode").asc_nulls_first(), F.col("OrderID").asc()]
-    placed = global_position(t.orders.select("OrderID", "DeliveryTimeMinutes", "CouponCode"), order)
+    placed = global_position(t.orders.select("OrderID", "DeliveryTimeMinutes", "CouponCode"), order, by_range(F.col("DeliveryTimeMinutes"), "desc_nulls_last"))
     return placed.drop("CouponCode")
 
 

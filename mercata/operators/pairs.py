@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .ordering import SLICE_ROWS, Running, running_by_key
+from .ordering import HOT_ROWS, Running, by_range, running_by_key
 
 
 def first_distant_pairs(
-    df: DataFrame, group: str, id_: str, value: str, gap: float, limit: int, hot_rows: int = SLICE_ROWS
+    df: DataFrame, group: str, id_: str, value: str, gap: float, limit: int, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """The ``limit`` smallest pairs (a, b), a < b, of one group with |value_a - value_b| > gap.
 
@@ -18,7 +18,8 @@ def first_distant_pairs(
     """
     rows = df.select(group, id_, value).filter(F.col(group).isNotNull() & F.col(value).isNotNull())
     later = running_by_key(
-        rows, [group], [F.col(id_).desc()], {"_hi": Running("max", value), "_lo": Running("min", value)}, hot_rows
+        rows, [group], [F.col(id_).desc()], {"_hi": Running("max", value), "_lo": Running("min", value)}, hot_rows,
+        by_range(F.col(id_), "desc"),
     )
     opens = (F.col("_hi") - F.col(value) > gap) | (F.col(value) - F.col("_lo") > gap)
     openers = (

@@ -15,7 +15,7 @@ from ..operators.aggregates import basket, daily_conditions
 from ..operators.asof import asof_nearest
 from ..operators.dedupe import keep_first
 from ..operators.joins import lookup
-from ..operators.ordering import SLICE_ROWS, Running, running_by_key
+from ..operators.ordering import HOT_ROWS, Running, by_month, running_by_key
 
 HISTORY_KEYS = (("CustomerID", "Customer"), ("RestaurantID", "Restaurant"), ("DeliveryPartnerID", "Partner"))
 
@@ -29,7 +29,7 @@ def delivered_orders(orders: DataFrame) -> DataFrame:
 
 
 def prior_history(
-    facts: DataFrame, key: str, prefix: str, spend: bool = False, hot_rows: int = SLICE_ROWS, rows: int | None = None
+    facts: DataFrame, key: str, prefix: str, spend: bool = False, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Per order: count, mean minutes (and spend) of strictly earlier orders of the same key."""
     measures = {
@@ -41,44 +41,42 @@ def prior_history(
         measures[f"{prefix}PriorSpend"] = Running("sum", "FinalAmount")
         columns.append("FinalAmount")
     order = [F.col("OrderTimestamp").asc(), F.col("OrderID").asc()]
-    return running_by_key(facts.select(*columns), [key], order, measures, hot_rows, rows).select("OrderID", *measures)
+    return running_by_key(facts.select(*columns), [key], order, measures, hot_rows, by_month(F.col("OrderTimestamp"))).select("OrderID", *measures)
 
 
-def with_history(facts: DataFrame, hot_rows: int = SLICE_ROWS, rows: int | None = None) -> DataFrame:
+def with_history(facts: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """All history features. The windows move narrow rows; the wide row is shuffled once, by order id."""
-    rows = facts.count() if rows is None else rows
     out = facts
     for key, prefix in HISTORY_KEYS:
-        out = out.join(prior_history(facts, key, prefix, key == "CustomerID", hot_rows, rows), "OrderID")
+        out = out.join(prior_history(facts, key, prefix, key == "CustomerID", hot_rows), "OrderID")
     return out
 
 
 def nearest_traffic(
-    facts: DataFrame, traffic: DataFrame, tolerance_minutes: int = TRAFFIC_TOLERANCE_MINUTES,
-    rows: int | None = None,
+    facts: DataFrame, traffic: DataFrame, tolerance_minutes: int = TRAFFIC_TOLERANCE_MINUTES, key: str | None = None,
 ) -> DataFrame:
     """Per order the traffic reading of the restaurant city nearest in time.
 
-    ``rows`` may pass on the known number of orders.
+    With ``key``, a column that names each row of ``facts``, only narrow rows take part in the search and the wide
+    row is joined once, by ``key``.
     """
     readings = traffic.select(
         F.col("City").alias("RestaurantCity"), day_micros(F.col("Date"), F.col("Time")).alias("_read"),
         "TrafficID", "TrafficLevel", "AverageSpeed",
     )
     placed = facts.withColumn("_placed", day_micros(F.col("OrderDate"), F.col("OrderTime")))
-    return asof_nearest(
-        placed, readings, "RestaurantCity", "_placed", "_read", ["TrafficLevel", "AverageSpeed"],
+    found = asof_nearest(
+        placed if key is None else placed.select(key, "RestaurantCity", "_placed"), readings, "RestaurantCity", "_placed", "_read", ["TrafficLevel", "AverageSpeed"],
         "TrafficID", tolerance_minutes * 60, delta="TrafficTimeDeltaMinutes",
-        rows_hint=traffic.count() + (facts.count() if rows is None else rows),
     ).drop("_placed")
+    return found if key is None else facts.join(found.drop("RestaurantCity"), key, "left")
 
 
-def delivery_features(t: Mapping[str, DataFrame], strict_city: bool = False, hot_rows: int = SLICE_ROWS) -> DataFrame:
+def delivery_features(t: Mapping[str, DataFrame], strict_city: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """One row per delivered order with everything known when it was placed."""
     orders = t["orders"].drop("ItemLines", "TotalQuantity")  # the basket brings both
     delivered = delivered_orders(orders)
-    rows = delivered.count()
-    facts = with_history(delivered, hot_rows, rows)
+    facts = with_history(delivered, hot_rows)
 
     customers = t["customers"].select(
         "CustomerID", F.col("Age").alias("CustomerAge"), F.col("Gender").alias("CustomerGender"),
@@ -121,7 +119,7 @@ def delivery_features(t: Mapping[str, DataFrame], strict_city: bool = False, hot
     )
     weather = daily_conditions(t["weather"], ["City", "Date"], ["Temperature", "Rainfall", "Humidity"], "WeatherCondition")
     weather = weather.withColumnsRenamed({"City": "RestaurantCity", "Date": "OrderDate"})
-    x = nearest_traffic(lookup(x, weather, ["RestaurantCity", "OrderDate"]), t["traffic"], rows=rows)
+    x = nearest_traffic(lookup(x, weather, ["RestaurantCity", "OrderDate"]), t["traffic"])
     if strict_city:
         x = x.filter((F.col("CustomerRestaurantCityMismatch") == 0) & (F.col("RestaurantPartnerCityMismatch") == 0))
     return x

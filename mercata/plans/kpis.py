@@ -17,7 +17,7 @@ from ..functions import (
     as_money, average, change_pct2, is_completed, mismatch_null_ignored, month_start, pct2, ratio, ratio2, round2,
 )
 from ..operators.aggregates import rank_by_date, value_counts
-from ..operators.ordering import Running, ntile, rank_within, running_by_key, top_within
+from ..operators.ordering import HOT_ROWS, Running, by_month, by_range, ntile, rank_within, running_by_key, top_within
 from ..operators.pairs import first_distant_pairs
 
 def rows() -> Column:
@@ -448,13 +448,13 @@ def topk_rank(orders: DataFrame, restaurants: DataFrame, limit: int = 3) -> Data
     return top_within(restaurant_revenue(orders, restaurants, [DELIVERED]), ["City"], "revenue", limit)
 
 
-def lag_lead(orders: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def lag_lead(orders: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Previous and next delivered amount of the same customer by date."""
     base = _delivered(orders).select("OrderID", "CustomerID", "OrderDate", "FinalAmount")
-    options = {} if hot_rows is None else {"hot_rows": hot_rows}
     moved = running_by_key(
         base, ["CustomerID"], [F.col("OrderDate").asc_nulls_last(), F.col("OrderID").asc()],
-        {"p": Running("previous", "FinalAmount"), "q": Running("next", "FinalAmount")}, **options,
+        {"p": Running("previous", "FinalAmount"), "q": Running("next", "FinalAmount")}, hot_rows,
+        by_month(F.col("OrderDate"), "asc_nulls_last"),
     )
     return moved.select(
         "OrderID", "CustomerID", "OrderDate", as_money(F.col("FinalAmount")).alias("FinalAmount"),
@@ -549,11 +549,10 @@ def last_order_cancelled(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return customers.select("CustomerID", "Name").join(bad.select("CustomerID"), "CustomerID", "left_semi")
 
 
-def partner_top_decile(partners: DataFrame, slice_rows: int | None = None) -> DataFrame:
-    options = {} if slice_rows is None else {"slice_rows": slice_rows}
+def partner_top_decile(partners: DataFrame) -> DataFrame:
     order = [F.col("CompletedDeliveries").desc_nulls_first(), F.col("Rating").desc_nulls_first(), F.col("DeliveryPartnerID").asc()]
     base = partners.select("DeliveryPartnerID", "Name", "City", "Rating", "CompletedDeliveries")
-    return ntile(base, 10, order, "decile", **options).filter(F.col("decile") == 1)
+    return ntile(base, 10, order, by_range(F.col("CompletedDeliveries"), "desc_nulls_first"), "decile").filter(F.col("decile") == 1)
 
 
 def order_list(orders: DataFrame, customers: DataFrame, restaurants: DataFrame, limit: int = 100) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from mercata.functions import coerce_whole
 from mercata.operators.metrics import ranking_metrics
-from mercata.operators.ordering import Running, running_by_key
+from mercata.operators.ordering import Running, by_range, running_by_key
 from mercata.plans.cleaning import _deduped, numeric
 from mercata.session import scratch_path
 from mercata.sources.tables import ORDER
@@ -33,7 +33,7 @@ def test_running_sum_has_one_type(spark):
     rows = spark.range(40).select((F.col("id") % 2).alias("k"), "id", (F.col("id") / 4).cast("decimal(12,2)").alias("v"))
     measures = {"s": Running("sum", "v")}
     plain = running_by_key(rows, ["k"], [F.col("id").asc()], measures)
-    cut = running_by_key(rows, ["k"], [F.col("id").asc()], measures, hot_rows=5)
+    cut = running_by_key(rows, ["k"], [F.col("id").asc()], measures, 5, by_range(F.col("id"), steps=2))
     assert plain.schema["s"].dataType == cut.schema["s"].dataType
     assert sorted(plain.collect()) == sorted(cut.collect())
 

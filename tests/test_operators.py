@@ -12,7 +12,7 @@ from mercata.operators.dedupe import duplicate_rows, keep_first
 from mercata.operators.integrity import Parent, children, flag_orphans, orphans, unknown_code_to_null
 from mercata.operators.joins import broadcast_if_small, lookup
 from mercata.operators.metrics import best_threshold, classification_metrics, ranking_metrics, threshold_grid, threshold_table
-from mercata.operators.ordering import Running, global_position, ntile, rank_within, running_by_key, running_totals
+from mercata.operators.ordering import Running, by_range, exact_median, global_position, nth_smallest, ntile, rank_within, running_by_key, running_totals
 from mercata.operators.pairs import first_distant_pairs
 
 
@@ -43,19 +43,19 @@ def brute_history(rows):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [10_000, 40, 5])
+@pytest.mark.parametrize("hot_rows", [10_000, 40, 5, None])
 def test_running_by_key_matches_brute_force(spark, facts, hot_rows):
     df = spark.createDataFrame(facts, "id long, k string, t int, v double").repartition(5)
     kinds = {
         "n": Running("count"), "s": Running("sum", "v"), "m": Running("mean", "v"), "hi": Running("max", "v"),
         "lo": Running("min", "v"), "p": Running("previous", "v"), "q": Running("next", "v"),
     }
-    got = running_by_key(df, ["k"], [F.col("t").asc(), F.col("id").asc()], kinds, hot_rows).collect()
+    got = running_by_key(df, ["k"], [F.col("t").asc(), F.col("id").asc()], kinds, hot_rows, by_range(F.col("t"), steps=4)).collect()
     assert len(got) == len(facts)
     assert {r["id"]: tuple(r[c] for c in kinds) for r in got} == brute_history(facts)
 
 
-@pytest.mark.parametrize("hot_rows", [10_000, 30])
+@pytest.mark.parametrize("hot_rows", [10_000, 30, None])
 def test_rank_within_matches_pandas(spark, facts, hot_rows):
     rows = [(i, k or "none", v or 0.0) for i, k, _, v in facts]
     df = spark.createDataFrame(rows, "id long, k string, v double")
@@ -68,26 +68,62 @@ def test_rank_within_matches_pandas(spark, facts, hot_rows):
     assert got == {int(r.id): (r.row, r.rank, r.dense) for r in p.itertuples()}
 
 
-@pytest.mark.parametrize("slice_rows", [10_000, 37])
-def test_global_order(spark, facts, slice_rows):
+@pytest.mark.parametrize("steps", [1, 1024])
+def test_global_order(spark, facts, steps):
     df = spark.createDataFrame([(i, t) for i, _, t, _ in facts], "id long, t int")
     order = [F.col("t").desc(), F.col("id").asc()]
     want = [i for i, *_ in sorted(((i, t) for i, _, t, _ in facts), key=lambda r: (-r[1], r[0]))]
-    placed = {r["position"]: r["id"] for r in global_position(df, order, slice_rows=slice_rows).collect()}
+    placed = {r["position"]: r["id"] for r in global_position(df, order, by_range(F.col("t"), "desc", steps)).collect()}
     assert [placed[i + 1] for i in range(len(want))] == want
-    totals = running_totals(df, order, {"before": F.col("t")}, slice_rows).collect()
+    totals = running_totals(df, order, {"before": F.col("t")}, by_range(F.col("t"), "desc", steps)).collect()
     running, expected, by_id = 0, {}, {i: t for i, _, t, _ in facts}
     for i in want:
         expected[i] = running
         running += by_id[i]
     assert {r["id"]: r["before"] for r in totals} == expected
     for k in (7, 10, 601):
-        tiles = {r["id"]: r["tile"] for r in ntile(df, k, order, slice_rows=slice_rows).collect()}
+        tiles = {r["id"]: r["tile"] for r in ntile(df, k, order, by_range(F.col("t"), "desc", steps)).collect()}
         size, extra = divmod(len(want), k)
         flat = [b + 1 for b in range(k) for _ in range(size + (b < extra))]
         assert [tiles[i] for i in want] == flat
 
 
+def test_rank_within_with_missing_values(spark):
+    rng = random.Random(3)
+    rows = [(i, "hot" if i % 2 else "k", None if i % 3 == 0 else float(rng.randint(-40, 40))) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, k string, v double").repartition(4)
+    df.createOrReplaceTempView("ranked_rows")
+    want = spark.sql("""SELECT id, row_number() OVER (PARTITION BY k ORDER BY v DESC NULLS FIRST, id) AS row_num,
+        rank() OVER (PARTITION BY k ORDER BY v DESC NULLS FIRST) AS rank_num, dense_rank() OVER (PARTITION BY k ORDER BY v DESC NULLS FIRST) AS dense_rank_num
+        FROM ranked_rows""").collect()
+    for hot_rows in (10, None, 10_000):
+        got = rank_within(df, ["k"], "v", "id", hot_rows).select("id", "row_num", "rank_num", "dense_rank_num").collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 6, 401])
+def test_exact_median_and_positions(spark, n):
+    rng = random.Random(n)
+    rows = [("a" if i % 2 else None, None if i % 7 == 3 else rng.choice([-2.5, 0.0, 1e-9, 3.0, 3.0, 1e12, rng.random()])) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(3)
+    values = sorted(v for _, v in rows if v is not None)
+    got = exact_median(df, "v").collect()
+    assert [r["median"] for r in got] == [pytest.approx(pd.Series(values).median(), rel=1e-15)]
+    for k in ("a", None):
+        own = [v for x, v in rows if x == k and v is not None]
+        mine = [r["median"] for r in exact_median(df, "v", ["k"]).collect() if r["k"] == k]
+        assert mine == ([pytest.approx(pd.Series(own).median(), rel=1e-15)] if own else [])
+    at = nth_smallest(df, "v", F.sequence(F.lit(0), F.col("n") - 1)).collect()
+    assert [r["v"] for r in sorted(at, key=lambda r: r["position"])] == values
+
+
+def test_ranges_keep_the_order(spark):
+    values = sorted({0.0, 1.0, -1.0, 1e-300, -1e-300, 5e-324, 1e308, -1e308, 2.0**53, 0.5, 3.0, 3.0000001, -3.0000001, 7.0, 1e6, 1e6 + 1})
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    cells = [r["c"] for r in df.select("v", by_range(F.col("v"))[0][0].alias("c")).orderBy("v").collect()]
+    assert cells == sorted(cells) and len(set(cells)) > 10
+
+
 def brute_asof(left, right, tolerance, direction):
     out = {}
     for lid, by, at in left:
@@ -169,8 +205,7 @@ def test_references(spark):
     assert [(r["code"], r["emptied"]) for r in done] == [("A", False), (None, True), (None, False)]
 
 
-@pytest.mark.parametrize("slice_rows", [10_000, 25])
-def test_metrics_match_direct_computation(spark, slice_rows):
+def test_metrics_match_direct_computation(spark):
     rng = random.Random(5)
     rows = [(i, int(rng.random() < 0.6), round(rng.random(), 2)) for i in range(400)]
     df = spark.createDataFrame(rows, "id long, y int, p double")
@@ -183,7 +218,7 @@ def test_metrics_match_direct_computation(spark, slice_rows):
         hits += fresh
         seen += sum(1 for _, _, p in rows if p == s)
         ap += fresh / len(pos) * hits / seen
-    got = ranking_metrics(df, "y", "p", slice_rows).first()
+    got = ranking_metrics(df, "y", "p").first()
     assert got["roc_auc"] == pytest.approx(round(auc, 4), abs=1e-4) and got["pr_auc"] == pytest.approx(round(ap, 4), abs=1e-4)
 
     table = {round(r["threshold"], 6): (r["tp"], r["fp"], r["fn"]) for r in threshold_table(df, "y", "p").collect()}

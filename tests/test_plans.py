@@ -3,11 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from mercata.catalog import QUERIES
 from mercata.catalog.roles import Roles
 from mercata.operators.ordering import top_within
-from mercata.plans import kpis
+from mercata.plans import features, kpis
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,6 +32,31 @@ def test_no_products_and_no_python_rows(spark, name):
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas", text)
 
 
+@pytest.mark.parametrize(
+    "build",
+    [
+        lambda t: kpis.lag_lead(t.order_heads), lambda t: kpis.rank_three_ways(t.orders, t.restaurants),
+        lambda t: kpis.partner_top_decile(t.partners), lambda t: features.prior_history(features.delivered_orders(t.orders), "CustomerID", "Customer", True),
+        lambda t: features.nearest_traffic(features.delivered_orders(t.orders).withColumn("RestaurantCity", F.lit("x")), t.traffic, key="OrderID"),
+    ],
+)
+def test_no_job_while_planning(spark, build):
+    t = Roles(spark, SF)
+    build(t)  # schemas and role sizes are read once
+    spark.sparkContext.setJobGroup("planning", "")
+    try:
+        build(t)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setJobGroup("after", "")
+
+
+def test_hot_keys_do_not_change_the_plan(spark):
+    """The one plan holds windows inside (key, bucket) only; no window holds a whole customer."""
+    text = plan(QUERIES["lag_lead"](spark, SF))
+    assert "_part" in text and not re.search(r"Window \[[^\]]*\], \[CustomerID", text)
+
+
 def test_group_limits_before_the_shuffle(spark):
     t = Roles(spark, SF)
     text = plan(top_within(t.items, ["FoodItemID"], "TotalPrice", 3))
