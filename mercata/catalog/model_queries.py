@@ -35,11 +35,30 @@ def sanitize(t: Roles) -> DataFrame:
     return models.sanitize(t.dirty, ["NumberText"], ["LabelText"]).select("OrderID", "NumberText", "LabelText")
 
 
-@query("preprocess")
+_LABELS = """{c}_n AS (SELECT {c} AS label, count(*) AS n FROM m_orders WHERE {c} IS NOT NULL GROUP BY {c}),
+        {c}_f AS (SELECT count(*) FILTER (n >= 10) AS kept, count(*) FILTER (n < 10) > 0 AS rare, arg_min(label, (-n, label)) AS top FROM {c}_n),
+        {c}_s AS (SELECT label, row_number() OVER (ORDER BY n DESC, label) - 1 AS slot FROM {c}_n WHERE n >= 10)"""
+_NUMBERS = ("DeliveryTimeMinutes", "FoodCost", "OrderTime")
+_FILLED = ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT median(CAST({c} AS DOUBLE)) FROM m_orders)) AS {c}" for c in _NUMBERS)
+_SCALED = ", ".join(f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS {c}_num" for c in _NUMBERS)
+_SLOT = "coalesce({c}_s.slot, {c}_f.kept) AS {c}_slot"
+_LABEL_JOIN = "CROSS JOIN {c}_f LEFT JOIN {c}_s ON {c}_s.label = coalesce(f.{c}, {c}_f.top)"
+_CATEGORIES = ("PaymentMethod", "CouponCode")
+
+
+@query(
+    "preprocess",
+    f"""WITH {', '.join(_LABELS.format(c=c) for c in _CATEGORIES)}, f AS (SELECT OrderID, PaymentMethod, CouponCode, {_FILLED} FROM m_orders)
+        SELECT OrderID, {_SCALED}, {', '.join(_SLOT.format(c=c) for c in _CATEGORIES)},
+               {' + '.join(f"{c}_f.kept + {c}_f.rare::INTEGER" for c in _CATEGORIES)} + {len(_NUMBERS)} AS width
+        FROM f {' '.join(_LABEL_JOIN.format(c=c) for c in _CATEGORIES)}""",
+)
 def preprocess(t: Roles) -> DataFrame:
     df = stored(t.orders.select("OrderID", "DeliveryTimeMinutes", "FoodCost", "OrderTime", "PaymentMethod", "CouponCode"), "prep")
-    pre = models.fit_preprocessor(df, ["DeliveryTimeMinutes", "FoodCost", "OrderTime"], ["PaymentMethod", "CouponCode"], True)
-    return pre.transform(df).select("OrderID", F.concat_ws(" ", vector_to_array("features").cast("array<string>")).alias("features"))
+    pre = models.fit_preprocessor(df, _NUMBERS, _CATEGORIES, True)
+    width = F.size(vector_to_array("features")).cast("long")
+    slots = [F.col(f"{c}_slot").cast("long").alias(f"{c}_slot") for c in _CATEGORIES]
+    return pre.transform(df).select("OrderID", *[F.round(f"{c}_num", 6).alias(f"{c}_num") for c in _NUMBERS], *slots, width.alias("width"))
 
 
 @query(
@@ -52,7 +71,21 @@ def split_chronological(t: Roles) -> DataFrame:
     return models.split_chronological(facts, "OrderTimestamp", "OrderID").select("OrderID", "split")
 
 
-@query("split_stratified")
+_SEATS = """{s} AS (SELECT label, CAST(floor(n * total / all_) AS BIGINT) + CAST(row_number() OVER (ORDER BY floor(n * total / all_) - n * total / all_, label)
+              <= total - sum(floor(n * total / all_)) OVER () AS INTEGER) AS seats
+              FROM (SELECT label, n::DOUBLE AS n, sum(n) OVER () AS all_, ceil(sum(n) OVER () * {share}) AS total FROM {source}))"""
+
+
+@query(
+    "split_stratified",
+    f"""WITH o AS (SELECT OrderID, CAST(OrderStatus IN ('Delivered', 'Delivered Late') AS BIGINT) AS label FROM m_order_heads),
+        c AS (SELECT label, count(*) AS n FROM o GROUP BY label), {_SEATS.format(s='tests', share='0.15::DOUBLE', source='c')},
+        rest AS (SELECT c.label, n - seats AS n FROM c JOIN tests ON tests.label IS NOT DISTINCT FROM c.label),
+        {_SEATS.format(s='checks', share='(0.15::DOUBLE / (1 - 0.15::DOUBLE))', source='rest')},
+        p AS (SELECT OrderID, label, row_number() OVER (PARTITION BY label ORDER BY substr(md5('42:' || OrderID), 1, 15), OrderID) AS i FROM o)
+        SELECT OrderID, p.label, CASE WHEN i <= tests.seats THEN 'test' WHEN i <= tests.seats + checks.seats THEN 'validation' ELSE 'train' END AS split
+        FROM p JOIN tests ON tests.label IS NOT DISTINCT FROM p.label JOIN checks ON checks.label IS NOT DISTINCT FROM p.label""",
+)
 def split_stratified(t: Roles) -> DataFrame:
     labelled = t.order_heads.select("OrderID", is_completed(F.col("OrderStatus")).cast("int").alias("label"))
     return models.split_stratified(labelled, "label", "OrderID")

@@ -50,8 +50,9 @@ def test_history_with_hot_keys_equals_plain_windows(spark):
     facts = features.delivered_orders(Roles(spark, SF).orders)
     columns = ["OrderID", "CustomerPriorOrderCount", "CustomerPriorSpend", "RestaurantPriorAvgDelivery", "PartnerPriorOrderCount"]
     plain = sorted(map(tuple, features.with_history(facts).select(*columns).collect()))
-    sliced = sorted(map(tuple, features.with_history(facts, hot_rows=25).select(*columns).collect()))
-    assert plain == sliced and len(plain) > 500
+    for hot_rows in (25, None):
+        sliced = sorted(map(tuple, features.with_history(facts, hot_rows=hot_rows).select(*columns).collect()))
+        assert plain == sliced and len(plain) > 500
 
 
 def test_distance_activates_with_coordinates(spark):
@@ -63,7 +64,7 @@ def test_distance_activates_with_coordinates(spark):
 
 
 def test_chronological_split(spark, delivery):
-    split = models.split_chronological(delivery.select("OrderID", "OrderTimestamp"), "OrderTimestamp", "OrderID", slice_rows=100)
+    split = models.split_chronological(delivery.select("OrderID", "OrderTimestamp"), "OrderTimestamp", "OrderID")
     rows = {r["split"]: r for r in split.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.min("OrderTimestamp").alias("a"), F.max("OrderTimestamp").alias("b")).collect()}
     n = delivery.count()
     assert rows["train"]["n"] == int(n * 0.8) and rows["train"]["b"] <= rows["test"]["a"]
@@ -76,7 +77,7 @@ def test_stratified_split_sizes_and_repeatability(spark):
     assert sizes == {"train": 6291, "validation": 1349, "test": 1349}
     shares = {r["split"]: r["m"] for r in first.groupBy("split").agg(F.avg("y").alias("m")).collect()}
     assert max(shares.values()) - min(shares.values()) < 0.001
-    again = models.split_stratified(df.repartition(7), "y", "CustomerID", hot_rows=500)
+    again = models.split_stratified(df.repartition(7), "y", "CustomerID")
     assert first.join(again.withColumnRenamed("split", "s2"), "CustomerID").filter("split <> s2").count() == 0
 
 
@@ -89,12 +90,25 @@ def test_preprocessor_buckets_rare_and_unseen(spark):
     rows = [(float(i) if i else None, "a" if i < 20 else ("b" if i < 32 else f"r{i}")) for i in range(36)]
     train = spark.createDataFrame(rows, "x double, c string")
     pre = models.fit_preprocessor(train, ["x"], ["c"], scale=True)
-    assert pre.labels["c"] == ["a", "b"] and pre.fill["c"] == "a"
+    assert [r["label"] for r in pre.labels.orderBy("slot").collect()] == ["a", "b"] and pre.fill == {"c": "a", "x": 18.0}
     test = spark.createDataFrame([(None, "zzz"), (float("nan"), None)], "x double, c string")
     vectors = [r["features"].toArray().tolist() for r in pre.transform(test).collect()]
     assert vectors[0][0] == vectors[1][0] and vectors[0] != vectors[1] and len(vectors[0]) == 4
 
 
+def test_preprocessor_with_fifty_thousand_labels(spark):
+    n = 50_000
+    rows = spark.range(2 * n + 30).select(F.when(F.col("id") < 2 * n, F.concat(F.lit("label "), F.col("id") % n)).otherwise(F.lit("most")).alias("c"))
+    pre = models.fit_preprocessor(rows, [], ["c"], scale=False, min_rows=2)
+    assert pre.slots == {"c": n + 1} and not pre.rare["c"] and pre.fill["c"] == "most"
+    test = spark.createDataFrame([("label 49999",), ("most",), ("unseen",), (None,), ("label 0",)], "c string")
+    got = {r["c"]: r["features"] for r in pre.transform(test).collect()}
+    assert got["most"].indices.tolist() == got[None].indices.tolist() == [0] and got["most"].size == n + 1
+    assert got["unseen"].indices.tolist() == [] and got["label 0"].indices.tolist() == [1]
+    order = sorted(f"label {i}" for i in range(n))
+    assert got["label 49999"].indices.tolist() == [1 + order.index("label 49999")]
+
+
 def test_delivery_model(spark, delivery, tmp_path):
     bundle, predictions, report = models.train_delivery(delivery, SMALL)
     assert report["best_model"] == min((m for m in report["models"] if m != "baseline_mean"), key=lambda m: report["models"][m]["mae"])
