@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators import audit
 from ..operators.aggregates import item_sums
-from ..operators.checks import (
-    check_equation, check_key, check_references, check_rules, check_unique, require_passed,
-)
+from ..operators.checks import check_equation
 from ..operators.dedupe import keep_first
 from ..operators.integrity import Parent, children, flag_orphans, unknown_code_to_null, without_orphans
 from ..operators.repair import (
@@ -22,6 +20,7 @@ from ..plans.domain import AUDIT_METRICS, COLUMNS, LOAD_ORDER
 from ..sources.tables import ORDER
 from .registry import DONE, money, pct2, query
 from .roles import Roles
+from .star import KEY_ROWS, REFERENCE_ROWS, SCHEMA_ROWS, checks_sql, star
 
 _CLOSE = "abs(CAST({a} AS DOUBLE) - CAST({b} AS DOUBLE)) <= 0.01 + 1e-5 * abs(CAST({b} AS DOUBLE))"
 _ITEM_ORDER = "FoodItemID, Quantity, TotalPrice"
@@ -233,29 +232,14 @@ def q_dq_report(t: Roles) -> DataFrame:
     )
 
 
-@query(
-    "check_pk",
-    """SELECT 'orders.pk_unique' AS "check", count(*) = count(DISTINCT OrderID) AS passed,
-              'duplicate OrderID rows=' || CAST(count(*) - count(DISTINCT OrderID) AS VARCHAR) AS detail FROM m_order_heads
-       UNION ALL SELECT 'order_items.pk_unique', count(*) = count(DISTINCT OrderItemID),
-              'duplicate OrderItemID rows=' || CAST(count(*) - count(DISTINCT OrderItemID) AS VARCHAR) FROM m_items""",
-)
+@query("check_pk", checks_sql(KEY_ROWS))
 def q_check_pk(t: Roles) -> DataFrame:
-    return check_key(t.order_heads, "orders", "OrderID").union(check_key(t.items, "order_items", "OrderItemID"))
+    return validation.key_checks(star(t))
 
 
-@query(
-    "check_fk",
-    """WITH n AS (
-         SELECT 'fk.order_items.OrderID' AS "check",
-                count(*) FILTER (WHERE OrderID NOT IN (SELECT OrderID FROM m_order_heads)) AS bad FROM m_items
-         UNION ALL SELECT 'fk.order_items.FoodItemID',
-                count(*) FILTER (WHERE FoodItemID NOT IN (SELECT FoodItemID FROM m_menu WHERE Category <> 'ECONOMY')) FROM m_items)
-       SELECT "check", bad = 0 AS passed, 'orphan rows=' || CAST(bad AS VARCHAR) AS detail FROM n""",
-)
+@query("check_fk", checks_sql(REFERENCE_ROWS))
 def q_check_fk(t: Roles) -> DataFrame:
-    menu = t.menu.filter(F.col("Category") != "ECONOMY")
-    return check_references(t.items, "order_items", [("OrderID", t.order_heads, "OrderID"), ("FoodItemID", menu, "FoodItemID")])
+    return validation.reference_checks(star(t))
 
 
 @query(
@@ -268,26 +252,9 @@ def q_check_equation(t: Roles) -> DataFrame:
     return check_equation(t.orders, "orders.financial_equation", "FinalAmount", ["FoodCost", "DeliveryFee", "GST"], ["Discount"])
 
 
-@query(
-    "check_constraints",
-    """WITH n AS (
-         SELECT 'customers.age_in_range' AS "check", count(*) FILTER (WHERE NOT Age BETWEEN 0 AND 100) AS bad, 'broken' AS word FROM m_customers
-         UNION ALL SELECT 'customers.balance_not_negative', count(*) FILTER (WHERE Balance < 0), 'broken' FROM m_customers
-         UNION ALL SELECT 'customers.city_present', count(*) FILTER (WHERE City IS NULL), 'broken' FROM m_customers
-         UNION ALL SELECT 'cities.City_unique', count(City) - count(DISTINCT City), 'duplicate' FROM m_cities
-         UNION ALL SELECT 'menu.FoodName_unique', count(FoodName) - count(DISTINCT FoodName), 'duplicate' FROM m_menu)
-       SELECT "check", bad = 0 AS passed, word || ' rows=' || CAST(bad AS VARCHAR) AS detail FROM n""",
-)
+@query("check_constraints", checks_sql(SCHEMA_ROWS))
 def q_check_constraints(t: Roles) -> DataFrame:
-    rules = {
-        "age_in_range": F.col("Age").between(0, 100), "balance_not_negative": F.col("Balance") >= 0,
-        "city_present": F.col("City").isNotNull(),
-    }
-    parts = [
-        check_rules(t.customers, "customers", rules), check_unique(t.cities, "cities", ["City"]),
-        check_unique(t.menu, "menu", ["FoodName"]),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return validation.schema_checks(star(t))
 
 
 def _named(t: Roles) -> dict[str, DataFrame]:
@@ -367,7 +334,4 @@ def q_cleaning_run(t: Roles) -> DataFrame:
 @query("quality_gate")
 def q_gate(t: Roles) -> DataFrame:
     """Cleans, runs the 21 hard checks, and stops with an error if one fails."""
-    tables = clean_all(raw_tables(t)).tables
-    checks = validation.hard_checks(tables)
-    require_passed(checks)
-    return checks
+    return validation.gate(clean_all(raw_tables(t)).tables)

@@ -9,8 +9,9 @@ from ..operators.aggregates import histogram
 from ..plans import features, kpis, validation
 from .registry import DONE, cents, mean_int2, mean_money2, money, pct2, query, r2, ratio
 from .relational_queries import FACTS_SQL, histogram_sql
-from .cleaning_queries import _AUDIT, q_check_fk, q_check_pk, q_dq_report
+from .cleaning_queries import _AUDIT, _CLOSE, q_dq_report
 from .roles import Roles
+from .star import KEY_ROWS, REFERENCE_ROWS, STAR_SQL, WARNINGS_SQL, flagged_star, rows_sql
 
 _N = "count(*)"
 _D = f"count(*) FILTER (WHERE {DONE})"
@@ -570,21 +571,24 @@ def order_list(t: Roles) -> DataFrame:
     return kpis.order_list(t.orders, t.customers, t.restaurants)
 
 
+_HARD_SQL = " UNION ALL ".join(
+    [rows_sql([*KEY_ROWS, *REFERENCE_ROWS]), f"""SELECT 'orders.financial_equation', count(*) FILTER (WHERE NOT ({_CLOSE.format(
+        a='FoodCost + DeliveryFee + GST - Discount', b='FinalAmount')})) = 0, '' FROM s_orders"""]
+)
+
+
 @query(
     "dash_quality",
-    f"""WITH a AS ({_AUDIT.replace('WITH f AS', 'WITH f AS', 1)}),
-        n AS (SELECT 'orders.pk_unique' AS c, count(*) = count(DISTINCT OrderID) AS ok FROM m_order_heads
-              UNION ALL SELECT 'order_items.pk_unique', count(*) = count(DISTINCT OrderItemID) FROM m_items
-              UNION ALL SELECT 'fk1', count(*) FILTER (WHERE OrderID NOT IN (SELECT OrderID FROM m_order_heads)) = 0 FROM m_items
-              UNION ALL SELECT 'fk2', count(*) FILTER (WHERE FoodItemID NOT IN (SELECT FoodItemID FROM m_menu WHERE Category <> 'ECONOMY')) = 0 FROM m_items)
-        SELECT 'audit' AS section, "table" || '.' || metric AS name, CAST(value AS BIGINT) AS value FROM a
-        UNION ALL SELECT 'checks', 'passed', count(*) FILTER (WHERE ok) FROM n UNION ALL SELECT 'checks', 'total', count(*) FROM n""",
+    f"""WITH {STAR_SQL}, a AS ({_AUDIT}), n AS ({_HARD_SQL}), w AS ({WARNINGS_SQL})
+        SELECT 'audit' AS section, "table" || '.' || metric AS name, CAST(value AS DOUBLE) AS value FROM a
+        UNION ALL SELECT 'check', "check", CAST(passed AS DOUBLE) FROM n
+        UNION ALL SELECT 'checks', 'passed', CAST(count(*) FILTER (WHERE passed) AS DOUBLE) FROM n
+        UNION ALL SELECT 'checks', 'total', CAST(count(*) AS DOUBLE) FROM n
+        UNION ALL SELECT 'warnings', name, value FROM w""",
 )
 def dash_quality(t: Roles) -> DataFrame:
-    """Audit counters and the number of passed checks in one table."""
-    counted = q_dq_report(t).select(F.lit("audit").alias("section"), F.concat_ws(".", "table", "metric").alias("name"), "value")
-    summary = validation.check_summary(q_check_pk(t).union(q_check_fk(t))).drop("all_passed").unpivot([], ["passed", "total"], "name", "value")
-    return counted.unionByName(summary.select(F.lit("checks").alias("section"), "name", "value"))
+    """Audit counters, all hard checks and the warnings in one table."""
+    return validation.quality_board(flagged_star(t), q_dq_report(t))
 
 
 @query(

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import coerce_numeric, coerce_whole
 from ..operators import audit
-from ..plans.domain import COLUMNS
+from ..plans.domain import COLUMNS, LOAD_ORDER
 from ..session import scratch_path
-from ..sources import publish, read_raw, write_report, write_table
+from ..sources import publish_staged, read_raw, read_star, write_report, write_table
 from .registry import money, query
 from .roles import Roles
+from .star import SHOWN_SQL, shown, star
 
 
 @query(
@@ -92,17 +95,11 @@ def dq_summary_wide(t: Roles) -> DataFrame:
     return audit.wide_summary(_counters(t), ["raw_rows", "duplicate_key_rows", "invalid_age_rows"])
 
 
-@query(
-    "publish_star",
-    f"""SELECT 'customers' AS "table", CustomerID AS id, City, Membership AS label FROM m_customers
-        UNION ALL SELECT 'restaurants', RestaurantID, City, Cuisine FROM m_restaurants""",
-)
+@query("publish_star", SHOWN_SQL)
 def publish_star(t: Roles) -> DataFrame:
+    """All twelve tables, published as a version and read back through its manifest."""
     base = scratch_path(t.spark, "star")
-    tables = {"cities": t.cities, "customers": t.customers, "restaurants": t.restaurants}
-    publish(tables, COLUMNS, list(tables), folder=base)
-    customers = t.spark.read.parquet(f"{base}/customers")
-    restaurants = t.spark.read.parquet(f"{base}/restaurants")
-    return customers.select(F.lit("customers").alias("table"), F.col("CustomerID").alias("id"), "City", F.col("Membership").alias("label")).union(
-        restaurants.select(F.lit("restaurants"), "RestaurantID", "City", "Cuisine")
-    )
+    tables = star(t)
+    publish_staged(tables, COLUMNS, LOAD_ORDER, base)
+    back = read_star(t.spark, base)
+    return reduce(DataFrame.unionByName, [shown(name, back[name]) for name in LOAD_ORDER])

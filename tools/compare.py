@@ -51,7 +51,7 @@ def rows_of(columns: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted(tuple(plain(r[i]) for i in order) for r in rows)
 
 
-SPARK_KIND = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+SPARK_KIND = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 
 
 def compare(spark, con, folder: str, name: str) -> tuple[str, str, float, int]:
