@@ -56,12 +56,12 @@ def counted(df, *columns):
 
 
 @pytest.mark.parametrize("keep", ["largest", "smallest"])
-@pytest.mark.parametrize("salts", [1, 4096])
-def test_content_groups(docs, keep, salts):
+@pytest.mark.parametrize("hot_rows", [1, 2, 100_000])
+def test_content_groups(docs, keep, hot_rows):
     groups = defaultdict(list)
     for doc_id, text, *_ in ROWS:
         groups[text or ""].append(doc_id)
-    got = exact_dedup.content_groups(docs, keep=keep, salts=salts).collect()
+    got = exact_dedup.content_groups(docs, keep=keep, hot_rows=hot_rows).collect()
     assert len(got) == len(ROWS)
     kept = Counter(r["text_sha256"] for r in got if r["kept"])
     for text, ids in groups.items():
@@ -73,6 +73,38 @@ def test_content_groups(docs, keep, salts):
         assert kept[digest] == 1 and [r["doc_id"] for r in rows if r["kept"]] == [best]
 
 
+def copies(spark):
+    """A text of a third of all rows, in many partitions, texts that share first characters, and pairs."""
+    rows = [(i, "hot text") for i in range(400)] + [(1000 + i, f"the same beginning {i % 150}") for i in range(300)] + [(None, "hot text")] * 40
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(9), rows
+
+
+@pytest.mark.parametrize("hot_rows", [7, 100_000])
+def test_a_digest_decides_nothing(spark, monkeypatch, hot_rows):
+    ship(spark)
+    df, rows = copies(spark)
+    monkeypatch.setattr(exact_dedup.F, "sha2", lambda column, bits: exact_dedup.F.lit("all alike"))
+    monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *columns: exact_dedup.F.length(exact_dedup.F.concat(*[exact_dedup.F.coalesce(exact_dedup.F.col(c).cast("string"), exact_dedup.F.lit("")) for c in columns])).cast("long"))
+    sizes = Counter(text for _, text in rows)
+    best = {}
+    for doc_id, text in rows:
+        best[text] = min(best.get(text, 10**9), 10**9 if doc_id is None else doc_id)
+    got = counted(exact_dedup.content_groups(df, hot_rows=hot_rows), "doc_id", "keep_id", "group_size")
+    assert got == Counter((doc_id, best[text], sizes[text]) for doc_id, text in rows)
+    assert counted(exact_dedup.deduplicate(df, hot_rows=hot_rows), "doc_id", "text") == Counter((i, text) for text, i in best.items())
+
+
+def test_copies_are_found_as_neighbours_and_hot_texts_spread(spark):
+    ship(spark)
+    df, rows = copies(spark)
+    body = df.select(F.col("doc_id").alias("_id"), F.col("text").alias("_body"))
+    runs = exact_dedup._runs(body, "smallest", 100_000)
+    assert runs.where("_new").count() == len({text for _, text in rows})
+    spread = exact_dedup._runs(body, "smallest", 50).where("_body = 'hot text'").withColumn("part", F.spark_partition_id())
+    sizes = [r["count"] for r in spread.groupBy("_slice").count().collect()]
+    assert len(sizes) == 9 and max(sizes) < 100 and spread.where("_slice < 0").count() == 0
+
+
 def test_deduplicate_keeps_columns(docs, empty):
     out = exact_dedup.deduplicate(docs)
     assert out.columns == docs.columns and out.dtypes == docs.dtypes
