@@ -107,8 +107,9 @@ def pack_balanced(
         own, next_sequence = encoder(path), TaskContext.get().partitionId() << 40
         held, pieces, size = [], 0, 0
         for frame in frames:
-            for name, text in zip(frame["id"], frame["text"]):
-                ids = own.ids(text if isinstance(text, str) else "") + end
+            texts = [text if isinstance(text, str) else "" for text in frame["text"]]
+            for name, ids in zip(frame["id"], own.many(texts)):
+                ids += end
                 held.append((name, ids))
                 pieces, size = pieces + len(ids) // 4 // capacity + 1, size + len(ids)
                 if pieces >= group_pieces or size >= group_bytes:

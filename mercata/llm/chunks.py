@@ -11,7 +11,11 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
@@ -36,25 +40,42 @@ BYTE_LETTERS = byte_letters()
 
 
 def letters_of(piece: str) -> str:
+    if piece.isascii() and piece.isalnum():  # these stand for themselves
+        return piece
     return "".join([BYTE_LETTERS[b] for b in piece.encode("utf-8")])
 
 
+#: Text whose words are looked up together.
+MANY_BYTES = 16 << 20
+
+#: What an entry of a cache takes beside its text and ids, and the longest text that is kept.
+ENTRY_BYTES, LONGEST_KEPT = 220, 256
+
+
 class Bounded(dict):
-    """A cache that calls ``make`` for what it lacks and starts over when full."""
+    """A cache of at most ``limit`` bytes that calls ``make`` for what it lacks.
+
+    When half of the limit is full, the entries become the older half, and what was in it and has not been asked for
+    since goes. Long keys are made each time.
+    """
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.half, self.size, self.older = make, limit // 2, 0, {}
 
     def __missing__(self, key):
-        value = self.make(key)
-        self.keep(key, value)
-        return value
-
-    def keep(self, key, value) -> None:
-        if len(self) >= self.limit:
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.make(key)
+            if len(key) > LONGEST_KEPT:
+                return value
+        if self.size >= self.half:
+            self.older = dict(self)
             self.clear()
+            self.size = 0
+        self.size += ENTRY_BYTES + len(key) + (len(value) if hasattr(value, "__len__") else 0)
         self[key] = value
+        return value
 
 
 class ChunkEncoder:
@@ -64,15 +85,15 @@ class ChunkEncoder:
     other file is "whole": every text goes to the library as it is.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 96 << 20):
         self.tok = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.specials = [t["content"] for t in spec["added_tokens"]]
         self.style, pattern = _style(spec)
         self.pattern = regex.compile(pattern) if pattern else None
-        model = self.tok.model
-        self.pieces = Bounded(lambda p: array("I", [t.id for t in model.tokenize(letters_of(p))]).tobytes(), limit)
+        self.model = self.tok.model
+        self.pieces = Bounded(self._piece, limit)
         self.chunks = Bounded(self._chunk, limit)
         self.after_space = Bounded(lambda word: self._chunk(" " + word), limit)  # spares a string per word
         self.line_end = self.whole("\n")
@@ -80,12 +101,22 @@ class ChunkEncoder:
     def whole(self, text: str) -> bytes:
         return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(letters_of(piece))]).tobytes()
+
     def _chunk(self, chunk: str) -> bytes:
-        if chunk.isascii() and chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):  # one piece
-            return self.pieces[chunk.lower() if self.style == "words" else chunk]
+        if not chunk.isascii() and UNUSUAL.search(chunk):
+            return self.whole(chunk)
+        if self.style == "words":
+            chunk = chunk.lower()
+        word = chunk[1:] if chunk[0] == " " else chunk
+        if word.isalpha():
+            return self._piece(chunk) if self.style == "words" else self.pieces[chunk]
+        if word[-1:] in _STOPS and word[:-1].isalpha():
+            return self.pieces[chunk[:-1]] + self.pieces[word[-1]]
         if UNUSUAL.search(chunk):
             return self.whole(chunk)
-        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk.lower() if self.style == "words" else chunk)))
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk)))
 
     def plain(self, text: str) -> bool:
         """Whether the cutting rules here hold for this text."""
@@ -100,17 +131,71 @@ class ChunkEncoder:
         if not self.plain(text):
             return self.whole(text)
         if self.style == "words":
+            if text.isascii() or not UNUSUAL.search(text):
+                text = _loose(_loose(text.lower(), "."), ",")
             return b"".join(map(self.chunks.__getitem__, text.split()))
         if any(run in text for run in WIDE_SPACE):
             return b"".join(map(self.chunks.__getitem__, SPACED.findall(text)))
         return self.line_end.join(map(self._line, text.split("\n")))
 
+    def many(self, texts: list[str | None]) -> Iterator[bytes]:
+        """``ids`` of each text in turn. Words of several texts are looked up once, about ``MANY_BYTES`` of text at a time."""
+        if self.style != "words":
+            yield from map(self.ids, texts)
+            return
+        held: list[str | bytes] = []  # texts ready for cutting, and ids of those that the library encoded
+        size = 0
+        for text in texts:
+            if not text or not self.plain(text):
+                held.append(self.ids(text))
+                continue
+            held.append(_loose(_loose(text.lower(), "."), ",") if text.isascii() or not UNUSUAL.search(text) else text)
+            size += len(text)
+            if size >= MANY_BYTES:
+                yield from self._cut(held)
+                held, size = [], 0
+        yield from self._cut(held)
+
+    def _cut(self, held: list[str | bytes]) -> Iterator[bytes]:
+        lists = pc.ascii_split_whitespace(pa.array([x for x in held if isinstance(x, str)], pa.large_string()))
+        words = lists.flatten().dictionary_encode()
+        known = [self.chunks[w] if w else b"" for w in words.dictionary.to_pylist()]
+        flat, sizes = np.frombuffer(b"".join(known), np.uint32), np.fromiter(map(len, known), np.int64, len(known)) // 4
+        codes = words.indices.to_numpy()
+        n = sizes[codes]
+        ends = np.cumsum(n)
+        from_ = (np.cumsum(sizes) - sizes)[codes] - (ends - n)  # first id of each word, less its place in the result
+        ids = flat[np.repeat(from_, n) + np.arange(len(n) and ends[-1])].tobytes()
+        cuts = np.r_[0, ends][lists.offsets.to_numpy() - lists.offsets[0].as_py()] * 4
+        text = 0
+        for x in held:
+            if isinstance(x, bytes):
+                yield x
+            else:
+                yield ids[cuts[text] : cuts[text + 1]]
+                text += 1
+
     def _line(self, line: str) -> bytes:
         """A line of words with single spaces: its first word has none before it."""
         first, *words = line.split(" ")
         return (self.chunks[first] if first else b"") + b"".join(map(self.after_space.__getitem__, words))
 
 
+#: Punctuation that ends a word and is a piece of its own when alone after letters.
+_STOPS = (".", ",", ";", ":", "!", "?")
+
+
+def _loose(text: str, stop: str) -> str:
+    """Puts a space before each ``stop`` between a letter or digit and a space, where a "words" tokenizer cuts anyway.
+
+    So a word is one chunk whether or not a sentence ends with it. A text with other uses stays as it is.
+    """
+    parts = text.split(stop + " ")
+    if len(parts) > 1 and all([part[-1:].isalnum() for part in parts[:-1]]):
+        return f" {stop} ".join(parts)
+    return text
+
+
 #: White space in which a "spaced" tokenizer's cut depends on what stands around.
 WIDE_SPACE = ("  ", "\n\n", "\n ", " \n", "\t", "\r", "\v", "\f")
 
