@@ -40,8 +40,8 @@ MAGIC = b"TOKSHRD1"
 TAIL = struct.Struct("<QQ")
 SHARD_BYTES = 64 << 20
 DICTIONARY_BYTES = 64 << 10
-#: The dictionary is trained on at most so many documents, those of smallest hash, and so many characters of each.
-#: It has an effect on file sizes only; what it was trained on never shows in results.
+#: The dictionary is trained on about so many documents, drawn by hash over the whole table, and at most so many
+#: characters of each, from a place drawn by hash. It changes file sizes only and never shows in results.
 TRAINING_DOCUMENTS, TRAINING_CHARS = 2048, 4096
 
 _MANIFEST = "part long, shard long, path string, n_docs long, n_ids long, n_bytes long, dictionary string"
@@ -53,11 +53,16 @@ def place(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def train_dictionary(docs: DataFrame, path: str, id_col: str, text_col: str) -> bytes:
-    """A dictionary from the id arrays of a bounded sample; empty when there is too little to train on."""
+    """A dictionary from the id arrays of a bounded sample; empty when there is too little to train on.
+
+    Only drawn rows leave their tasks, so what the driver gets is the same at every size.
+    """
+    text, mark = F.col(text_col).cast("string"), F.xxhash64(id_col, text_col)
+    share = min(1.0, TRAINING_DOCUMENTS / max(1, docs.count()))
+    spot = 1 + F.pmod(F.xxhash64(mark), F.greatest(F.char_length(text) - TRAINING_CHARS + 1, F.lit(1)))
     sample = (
-        docs.where(F.length(text_col) > 0)
-        .select(F.substring(text_col, 1, TRAINING_CHARS).alias("text"), F.xxhash64(id_col).alias("h"))
-        .orderBy("h", "text").limit(TRAINING_DOCUMENTS).collect()
+        docs.where((F.length(text) > 0) & (F.pmod(mark, F.lit(1 << 40)) < int(share * (1 << 40))))
+        .select(F.substring(text, spot.cast("int"), F.lit(TRAINING_CHARS)).alias("text")).limit(TRAINING_DOCUMENTS).collect()
     )
     own = encoder(path)
     arrays = [a for a in (own.ids(r["text"]) for r in sample) if len(a) >= 8]
@@ -161,8 +166,8 @@ def write_tokens(
             return pd.DataFrame([(part, done, file, n_docs, n_ids, n_bytes, used)], columns=[c.split()[0] for c in _MANIFEST.split(", ")])
 
         for frame in frames:
-            for name, text in zip(frame["id"], frame["text"]):
-                writer.add(name, own.ids(text) + end)
+            for name, ids in zip(frame["id"], own.many(frame["text"].tolist())):
+                writer.add(name, ids + end)
                 if writer.at >= shard_bytes:
                     yield closed()
                     done += 1
