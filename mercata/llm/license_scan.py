@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import WordHash, mix, ngram_hashes
@@ -26,8 +27,13 @@ UNKNOWN = "unknown"
 THRESHOLD, CONFIRM = 0.5, 0.6
 #: Words in a window and from one window to the next, words compared on either side, and words scored at a time.
 WINDOWS, AROUND, BLOCK = ((8, 4), (24, 12), (64, 32)), 64, 1 << 16
-#: Ordinary paragraphs are taken from at most so many documents, those of smallest hash, and so many characters of each.
+#: Ordinary paragraphs come from about so many documents, drawn by hash over the whole table, and at most so many
+#: characters of each, from a place drawn by hash.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS = 400, 4000
+#: Of their lines, drawn by hash, so many are training examples, and so many give the words around damaged templates.
+TRAINING_LINES, FILLER_LINES = 1500, 200
+#: Bytes of lines whose findings are remembered, and the longest such line.
+REMEMBERED, LONGEST_REMEMBERED = 16 << 20, 2048
 
 #: Sentences by which texts declare public licences, as commonly published.
 TEMPLATES = {
@@ -158,10 +164,10 @@ def probabilities(model: Model, paragraphs: list[list[bytes]], hashes: WordHash)
     return of, np.stack([first, end], axis=1), odds / odds.sum(axis=1, keepdims=True)
 
 
-def blocks(text: bytes) -> Iterator[list[tuple[int, int, list[bytes]]]]:
+def blocks(lines: list[tuple[int, bytes]]) -> Iterator[list[tuple[int, int, list[bytes]]]]:
     """Lists of (line, first word, words) of at most about ``BLOCK`` words; parts of a longer line overlap."""
     out, held = [], 0
-    for i, line in enumerate(text.split(b"\n")):
+    for i, line in lines:
         words = plain_words(line)
         for at in range(0, max(len(words) - AROUND, 1) if words else 0, BLOCK - AROUND):
             part = words[at : at + BLOCK]
@@ -174,10 +180,51 @@ def blocks(text: bytes) -> Iterator[list[tuple[int, int, list[bytes]]]]:
         yield out
 
 
-def findings(model: Model, text: bytes, known: dict[str, list[set[int]]], hashes: WordHash, threshold: float) -> list[tuple[int, str, float, float]]:
-    """line, family, probability, overlap: the families of every line, each once."""
+Finding = tuple[str, float, float]
+
+
+class Seen(dict):
+    """Findings of lines by their text, which do not depend on the lines around. Starts over when ``REMEMBERED`` is full."""
+
+    size = 0
+
+    def keep(self, line: bytes, found: list[Finding]) -> None:
+        if len(line) > LONGEST_REMEMBERED:
+            return
+        if self.size > REMEMBERED:
+            self.clear()
+            self.size = 0
+        self.size += len(line) + 150
+        self[line] = found
+
+
+def findings(
+    model: Model, text: bytes, known: dict[str, list[set[int]]], hashes: WordHash, threshold: float, seen: Seen | None = None
+) -> list[tuple[int, str, float, float]]:
+    """line, family, probability, overlap: the families of every line, each once.
+
+    Equal lines have equal findings: with ``seen``, each is judged once as long as it is remembered.
+    """
+    seen = Seen() if seen is None else seen
+    lines = text.split(b"\n")
+    new: dict[bytes, int] = {}
+    for i, line in enumerate(lines):
+        if line not in seen:
+            new.setdefault(line, i)
+    found = judged(model, [(i, line) for line, i in new.items()], known, hashes, threshold)
+    by_line = {line: found.get(i, []) for line, i in new.items()}
+    out = [(i, *f) for i, line in enumerate(lines) for f in (by_line[line] if line in by_line else seen[line])]
+    for line, got in by_line.items():
+        seen.keep(line, got)
+    return out
+
+
+def judged(
+    model: Model, lines: list[tuple[int, bytes]], known: dict[str, list[set[int]]], hashes: WordHash, threshold: float
+) -> dict[int, list[Finding]]:
+    """family, probability, overlap of each numbered line that has a finding."""
     named: dict[int, list[tuple[float, float, int, str, set[int], bool]]] = {}
-    for block in blocks(text):
+    for block in blocks(lines):
         of, spans, chances = probabilities(model, [words for _, _, words in block], hashes)
         best = chances.argmax(axis=1)
         for w in np.flatnonzero((best != len(model.families) - 1) & (chances.max(axis=1) >= threshold)):
@@ -190,8 +237,8 @@ def findings(model: Model, text: bytes, known: dict[str, list[set[int]]], hashes
             overlap, k = max(((len(own & k) / min(len(k), max(len(own), 1)), k) for k in known[family]), key=lambda x: x[0])
             fits = {at + low + j + m for j, h in enumerate(have) if h in k for m in range(size)}
             named.setdefault(line, []).append((overlap, float(chances[w, best[w]]), end - first, family, fits or set(range(at + first, at + end)), bool(fits)))
-    out = []
-    for line, found in sorted(named.items()):
+    out: dict[int, list[Finding]] = {}
+    for line, found in named.items():
         taken: set[int] = set()
         given: set[str] = set()
         for overlap, chance, _, family, covers, fits in sorted(found, key=lambda f: (-f[0], -f[1], f[2], f[3])):
@@ -199,14 +246,19 @@ def findings(model: Model, text: bytes, known: dict[str, list[set[int]]], hashes
                 continue
             given.add(family)
             taken |= covers
-            out.append((line, family, chance, overlap))
+            out.setdefault(line, []).append((family, chance, overlap))
     return out
 
 
 def ordinary_paragraphs(docs: DataFrame, id_col: str, text_col: str) -> list[str]:
     """Lines of a bounded sample of the corpus, some of which may be licence notices."""
-    rows = docs.where(F.length(text_col) > 0).select(F.substring(text_col, 1, SAMPLE_CHARS).alias("t"), F.xxhash64(id_col).alias("h"))
-    return [line for r in rows.orderBy("h", "t").limit(SAMPLE_DOCUMENTS).collect() for line in r["t"].split("\n")]
+    text, mark = F.col(text_col).cast("string"), F.xxhash64(id_col, text_col)
+    share = min(1.0, SAMPLE_DOCUMENTS / max(1, docs.count()))
+    spot = 1 + F.pmod(F.xxhash64(mark), F.greatest(F.char_length(text) - SAMPLE_CHARS + 1, F.lit(1)))
+    drawn = docs.where((F.length(text) > 0) & (F.pmod(mark, F.lit(1 << 40)) < int(share * (1 << 40))))
+    rows = drawn.select(F.substring(text, spot.cast("int"), F.lit(SAMPLE_CHARS)).alias("t")).limit(SAMPLE_DOCUMENTS).collect()
+    lines = {line for r in rows for line in r["t"].split("\n")}
+    return sorted(lines, key=lambda line: (xxhash.xxh3_64_intdigest(line.encode("utf-8")), line))
 
 
 def train(corpus: list[str], seed: int = 4, forms: int = 24, steps: int = 150) -> Model:
@@ -216,9 +268,9 @@ def train(corpus: list[str], seed: int = 4, forms: int = 24, steps: int = 150) -
     known = [triples(plain_words(t.encode()), hashes) for ts in TEMPLATES.values() for t in ts]
     lines = [plain_words(line.encode()) for line in corpus]
     ordinary = [w for w in lines if w and all(len(triples(w, hashes) & k) < 0.3 * len(k) for k in known)]
-    filler = [w for words in ordinary[:200] for w in words] or [b"of", b"and", b"to"]
-    examples: list[tuple[list[bytes], int]] = [(w, len(families) - 1) for w in ordinary[:1500]]
-    for words in ordinary[:1500]:
+    filler = [w for words in ordinary[:FILLER_LINES] for w in words] or [b"of", b"and", b"to"]
+    examples: list[tuple[list[bytes], int]] = [(w, len(families) - 1) for w in ordinary[:TRAINING_LINES]]
+    for words in ordinary[:TRAINING_LINES]:
         for width, _ in WINDOWS:
             if len(words) > width:
                 at = int(rng.integers(len(words) - width + 1))
@@ -269,11 +321,11 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     known = {f: [triples(plain_words(t.encode()), hashes) for t in ts] for f, ts in TEMPLATES.items()}
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = WordHash()
+        own, seen = WordHash(), Seen()
         for frame in frames:
             out = [
                 (name, *found, found[-1] >= confirm)
-                for name, text in zip(frame["id"], frame["text"]) for found in findings(model, (text or "").encode("utf-8"), known, own, threshold)
+                for name, text in zip(frame["id"], frame["text"]) for found in findings(model, (text or "").encode("utf-8"), known, own, threshold, seen)
             ]
             yield pd.DataFrame(out, columns=["id", "line", "family", "probability", "overlap", "confirmed"])
 

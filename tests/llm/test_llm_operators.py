@@ -476,3 +476,32 @@ def test_license_scan_in_long_lines(spark):
 def test_exact_fill_takes_a_longer_document_above_the_budget():
     assert mixing.exact_fill({100: 1, 1: 1}, 60) == {100: 1}
     assert mixing.exact_fill({100: 1, 1: 1}, 50) == {1: 1} and mixing.exact_fill({100: 1}, 50) == {} and mixing.exact_fill({7: 2}, 0) == {}
+
+
+def test_remembered_lines_change_nothing(corpus):
+    model = license_scan.train(license_scan.ordinary_paragraphs(corpus, "doc_id", "text"))
+    hashes, seen = license_scan.WordHash(), license_scan.Seen()
+    known = {f: [license_scan.triples(license_scan.plain_words(t.encode()), hashes) for t in ts] for f, ts in license_scan.TEMPLATES.items()}
+    notice = license_scan.TEMPLATES["Apache-2.0"][1]
+    texts = [r["text"] or "" for r in corpus.limit(40).collect()] + [f"{notice}\nplain line\n{notice}\n\n{notice} and {license_scan.TEMPLATES['BSD-3-Clause'][1]}"] * 2
+    for text in texts:
+        lines = text.encode().split(b"\n")
+        each = [(i, *f) for i, line in enumerate(lines) for f in license_scan.judged(model, [(0, line)], known, hashes, 0.5).get(0, [])]
+        got = license_scan.findings(model, text.encode(), known, hashes, 0.5, seen)
+        assert [g[:2] for g in got] == [e[:2] for e in each] and np.allclose([g[2:] for g in got], [e[2:] for e in each])
+    assert sum(f[1] == "Apache-2.0" for f in got) == 3
+
+
+def test_windows_score_as_by_themselves(corpus):
+    """The running sums give every window the probabilities that it has as a paragraph of its own."""
+    model = license_scan.train(license_scan.ordinary_paragraphs(corpus, "doc_id", "text"))
+    hashes = license_scan.WordHash()
+    draw = np.random.default_rng(1)
+    pool = [w for ts in license_scan.TEMPLATES.values() for t in ts for w in license_scan.plain_words(t.encode())] + [b"some", b"other", b"words"]
+    paragraphs = [[pool[i] for i in draw.integers(len(pool), size=n)] for n in (1, 2, 3, 7, 8, 9, 25, 70, 150)]
+    of, spans, chances = license_scan.probabilities(model, paragraphs, hashes)
+    for k, (first, end), chance in zip(of, spans, chances):
+        at = (license_scan.grams(paragraphs[k][first:end], hashes) & np.uint64(license_scan.BUCKETS - 1)).astype(int)
+        logits = (model.weights[at].sum(axis=0) / np.sqrt(len(at)) + model.bias) / model.temperature
+        odds = np.exp(logits - logits.max())
+        assert np.allclose(chance, odds / odds.sum(), rtol=1e-5)
