@@ -24,6 +24,12 @@ def coerce_whole(c: Column) -> Column:
     return F.when((near == F.floor(near)) & (exact == F.floor(exact)), exact.try_cast("long"))
 
 
+def coerce_decimal(c: Column, kind: str) -> Column:
+    """Text to an exact decimal of type ``kind``, straight from its digits; other text, and numbers too large for it,
+    become null."""
+    return F.when(coerce_numeric(c).isNotNull(), F.trim(c.cast("string")).try_cast(kind))
+
+
 def out_of_range(c: Column, low: float | None = None, high: float | None = None) -> Column:
     """True where a present value lies outside the closed range."""
     bad = F.lit(False)

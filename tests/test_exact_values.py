@@ -1,11 +1,14 @@
 """Values at the edges of the number types: large identifiers, large counts, and types that must not depend on size."""
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from mercata.functions import coerce_whole
 from mercata.operators.metrics import ranking_metrics
 from mercata.operators.ordering import Running, by_range, running_by_key
-from mercata.plans.cleaning import _deduped, numeric
+from mercata.plans.cleaning import _deduped, clean_all, numeric, read_all_raw
+from mercata.plans.domain import COLUMNS, LOAD_ORDER
 from mercata.session import scratch_path
 from mercata.sources.tables import ORDER
 from mercata.streaming import counters
@@ -56,3 +59,36 @@ def test_stream_reads_files_and_folders(spark):
     counters.start(stream, f"{base}/totals", f"{base}/state").awaitTermination()
     got = counters.current(spark, f"{base}/totals", "CustomerID", stream.schema)
     assert sorted(got.collect()) == sorted(counters.customer_counts(orders).collect())
+
+
+def test_money_and_quantities_keep_their_digits(spark, tmp_path):
+    """Amounts of 10^13, six decimal places, half portions; what no column can hold is counted, and nothing else is."""
+    raw = {
+        "cities": "1,Mumbai,2.5,West,10000000000000.000001\n2,Delhi,7,North,99999999999999999999",
+        "customers": "1,Ann,30,F,,,Mumbai,,,2024-01-01,Gold,2,Thai",
+        "restaurants": "1,R,Thai,Mumbai,A,10:00,22:00,4.5,12.345678,O,Cafe,,",
+        "delivery_partners": "1,P,abc,M,Bike,2020-01-01,Mumbai,4,10,30",
+        "promotions": "1,SAVE,10,Camp,2024-02-09,2024-02-13",
+        "menu": "1,1,Rice,Main,0.123456,10,200,yes",
+        "orders": "1,1,1,1,2024-05-01,10:30,30,5,1e1,0.5,SAVE,3,1,Delivered,Card\n2,1,1,1,2024-05-02,10:30,30,10000000000000.25,0,0,,0,9,Delivered,Card\n"
+        "x,1,1,1,2024-05-02,10:30,30,1,0,0,,0,1,Delivered,Card",
+        "order_items": "1,1,1,2.5,10.123457,5\n2,1,1,0.0001,1,1\n3,1,1,1.5,,1\n4,1,1,-0.5,3,1",
+        "payments": "", "customer_feedback": "", "weather": "", "traffic": "",
+    }
+    for name in LOAD_ORDER:
+        (tmp_path / f"{name}.csv").write_text(",".join(COLUMNS[name]) + "\n" + raw[name] + "\n")
+    cleaned = clean_all(read_all_raw(spark, {n: str(tmp_path / f"{n}.csv") for n in LOAD_ORDER}))
+    t = cleaned.tables
+    assert [(r["Population"], r["AverageIncome"]) for r in t["cities"].orderBy("CityID").collect()] == [
+        (Decimal("2.5"), Decimal("10000000000000.000001")), (7, None)
+    ]
+    assert t["restaurants"].first()["AverageCost"] == Decimal("12.345678")
+    lines = {r["OrderItemID"]: (r["Quantity"], r["UnitPrice"], r["TotalPrice"]) for r in t["order_items"].collect()}
+    assert lines == {
+        1: (Decimal("2.5"), Decimal("10.123457"), Decimal("25.31")), 2: (Decimal("0.0001"), 1, 0),
+        3: (Decimal("1.5"), Decimal("0.123456"), Decimal("0.19")),
+    }
+    orders = {r["OrderID"]: (r["FoodCost"], r["FinalAmount"]) for r in t["orders"].collect() if r["OrderID"]}
+    assert orders == {1: (Decimal("25.50"), Decimal("38.00")), 2: (Decimal("10000000000000.25"), Decimal("10000000000000.25"))}
+    counts = {(r["table"], r["column"]): r["value"] for r in cleaned.unread_numbers().collect()}
+    assert counts == {("cities", "AverageIncome"): 1, ("delivery_partners", "Age"): 1, ("orders", "OrderID"): 1}
