@@ -108,12 +108,14 @@ def mix_counts(
 
     A null text has no words. A null source is a source of its own, the last. No document is taken more than
     ``passes`` times; documents without words are taken in whole passes only. Rows that repeat an identifier are
-    documents of their own, ranked by their other columns. ``carry`` keeps columns, as one struct named "row".
+    documents of their own, ranked by a hash of the columns that are carried. ``carry`` keeps columns, as one struct named "row".
     """
     names = [c for c in docs.columns if carry and c in carry]
+    told = [F.col(f"`{f.name}`") for f in docs.schema if f.name in names and "map<" not in f.dataType.simpleString()]  # maps have no hash
     picked = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"),
         *([F.struct(*names).alias("row")] if names else []),
+        (F.xxhash64(*told) if told else F.lit(0)).alias("print"),
     )
     draw = F.xxhash64(F.lit(seed), F.col("id"))
     sized = stored(picked.withColumns({"draw": draw, "bucket": F.pmod(F.shiftright(draw, 20), F.lit(BUCKETS))}), "mix-sizes")
@@ -138,7 +140,7 @@ def mix_counts(
     plan = o.join(f, null_safe("o", "f", ["source", "size"])).select("o.source", "o.size", "bucket", "before", "done", "extra")
     pl, t2 = plan.alias("pl"), targets.alias("t2")
     plan = pl.join(t2, null_safe("pl", "t2", ["source"])).select("pl.*", "source_size", "target")
-    in_bucket = Window.partitionBy("source", "size", "bucket").orderBy("draw", "id")
+    in_bucket = Window.partitionBy("source", "size", "bucket").orderBy("draw", "id", "print")
     ranked = sized.withColumn("place", F.row_number().over(in_bucket)).alias("r")
     copies = F.col("done") + F.when(F.col("before") + F.col("place") <= F.col("extra"), 1).otherwise(0)
     out = ranked.join(plan.alias("q"), null_safe("r", "q", ["source", "size", "bucket"]))

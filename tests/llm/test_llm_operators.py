@@ -271,6 +271,14 @@ def test_mixing(corpus, docs, empty, weights):
     assert mixed.columns == docs.columns and mixed.count() == int(mixing.mix_counts(docs, weights).agg(F.sum("copies")).first()[0])
 
 
+def test_mix_repeats_itself_with_one_identifier(spark):
+    """Rows of one identifier and length are told apart by their content, however they are dealt."""
+    ship(spark)
+    rows = spark.createDataFrame([(1, f"w{i} a b c", "x", {"i": i}) for i in range(40)], "doc_id long, text string, source string, extra map<string,int>")
+    taken = [counted(mixing.mix(rows.repartition(n), share=0.5), "text") for n in (1, 3, 7)]
+    assert sum(taken[0].values()) == 20 and taken[0] == taken[1] == taken[2]
+
+
 def test_exact_fill_against_all_sums():
     rng = np.random.default_rng(2)
     for _ in range(60):
