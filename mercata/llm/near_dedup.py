@@ -8,8 +8,11 @@ the others can't put two sets together.
 
 Sets are taken once per distinct set (a class), however many documents have it. Classes that meet in tables form
 groups; inside a group every two classes are compared exactly, on their whole sets, so no candidate pair is ever a
-row. A group larger than ``BLOCK`` is cut by set size (sets of very different size can't be similar) and by hash, and
-its blocks are compared two by two in tasks of their own. The confirmed links join classes to components.
+row. Weakly similar sets meet now and then too, and in a large corpus chains of such meetings make large groups. A group
+of more than ``BLOCK`` classes is therefore parted by ``FINE_BANDS`` keys of ``FINE_ROWS`` fresh minhashes of its sets,
+which similar sets miss with probability 2e-6, and weak ones mostly do. What is still larger than ``BLOCK`` is cut by
+set size (sets of very different size can't be similar) and by hash, and its blocks are compared two by two in tasks
+of their own. The confirmed links join classes to components.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from .common import WordHash, byte_words, mix, multiplier, ngram_hashes, spare_n
 
 SHINGLE_WORDS, SIMILARITY = 5, 80  # similarity in per cent
 BANDS, ROWS = 16, 3
+#: Keys that part large groups: two sets of similarity s meet with probability 1 - (1 - s^FINE_ROWS)^FINE_BANDS.
+FINE_BANDS, FINE_ROWS = 72, 8
 #: Classes compared in one task. A group's work grows with the square of this, its memory with this.
 BLOCK = 1000
 
@@ -39,20 +44,20 @@ def shingle_set(text: str | None, hashes: WordHash, words: int) -> np.ndarray:
 
 
 class Sketcher:
-    """The 2 x bands keys of a set."""
+    """Keys of a set, each made of ``rows`` minhashes."""
 
-    def __init__(self, bands: int = BANDS, rows: int = ROWS):
-        self.bands, self.rows = bands, rows
-        many = 2 * bands * rows
-        self.times = np.array([multiplier(1000 + i) for i in range(many)], np.uint64)[:, None]
-        self.plus = mix(np.array([multiplier(5000 + i) for i in range(many)], np.uint64))[:, None]
+    def __init__(self, count: int, rows: int, first: int = 0):
+        self.count, self.rows = count, rows
+        many = range(first, first + count * rows)
+        self.times = np.array([multiplier(1000 + i) for i in many], np.uint64)[:, None]
+        self.plus = mix(np.array([multiplier(5000 + i) for i in many], np.uint64))[:, None]
 
     def keys(self, shingles: np.ndarray) -> np.ndarray:
         low = np.full(len(self.times), np.iinfo(np.uint64).max, np.uint64)
         for at in range(0, len(shingles), 2048):  # bounded memory for long texts
             low = np.minimum(low, (shingles[None, at : at + 2048] * self.times + self.plus).min(axis=1))
-        low = (low >> np.uint64(16)).reshape(2 * self.bands, self.rows)  # high bits are the well mixed ones
-        out = np.arange(2 * self.bands, dtype=np.uint64)
+        low = (low >> np.uint64(16)).reshape(self.count, self.rows)  # high bits are the well mixed ones
+        out = np.arange(self.count, dtype=np.uint64)
         for k in range(self.rows):
             out = mix(out * multiplier(k + 1) + low[:, k])
         return out.view(np.int64)
@@ -62,7 +67,7 @@ def sketches(docs: DataFrame, words: int, id_col: str, text_col: str, bands: int
     """id, mark (hash of the text), n_shingles, digest (of the set; null if empty), first, second (the two collections)."""
 
     def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, own = WordHash(), Sketcher(bands, rows)
+        hashes, own = WordHash(), Sketcher(2 * bands, rows)
         for frame in frames:
             sizes, digests, first, second = [], [], [], []
             for text in frame["text"]:
@@ -165,6 +170,33 @@ def compare_all(sets: list[np.ndarray], of_left: np.ndarray, similarity: int) ->
     return np.array([find(i) for i in range(n)])
 
 
+def finer_groups(
+    grouped: DataFrame, texts: DataFrame, words: int, block: int, bands: int = FINE_BANDS, rows: int = FINE_ROWS,
+) -> DataFrame:
+    """``grouped`` with the groups of more than ``block`` classes parted. Rows: digest, root, n_shingles.
+
+    Classes of one group that share a fine key stay together. A class that shares none leaves: it is similar to no
+    other. Smaller groups stay as they are, unread.
+    """
+    total = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("total"))
+    large = total.where(F.col("total") > block).select("root")
+    small = grouped.join(large, "root", "left_anti")
+    coarse = stored(grouped.join(large, "root"), "large-groups")
+
+    def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, own = WordHash(), Sketcher(bands, rows, 2 * BANDS * ROWS)
+        for frame in frames:
+            yield pd.DataFrame({"digest": frame["digest"], "keys": [own.keys(shingle_set(t, hashes, words)) for t in frame["text"]]})
+
+    # one row per class, whatever number of rows has its text
+    one = texts.join(coarse.select("digest"), "digest", "left_semi").mapInPandas(sketch, "digest binary, keys array<long>")
+    keyed = one.dropDuplicates(["digest"]).join(coarse, "digest").select("root", "digest", F.explode("keys").alias("band"))
+    rows_of = keyed.select(F.xxhash64("root", "band").alias("key"), F.col("digest").alias("node"))
+    parted = components(rows_of, "finer").select(F.col("node").alias("digest"), F.col("root").alias("part"))
+    fine = coarse.join(parted, "digest").select("digest", F.col("part").alias("root"), "n_shingles")
+    return small.select("digest", "root", "n_shingles").unionByName(fine)
+
+
 def _blocks(grouped: DataFrame, similarity: int, block: int) -> DataFrame:
     """Adds task, left: the tasks in which a class is compared. Rows: digest, root, n_shingles.
 
@@ -222,7 +254,9 @@ def near_classes(
     # the wanted side grows with the corpus: one plan at every size, and never a broadcast of it
     wanted = grouped.select("digest", "id", "mark").hint("merge").alias("w")
     found = texts.join(wanted, F.col("t.id").eqNullSafe(F.col("w.id")) & (F.col("t.mark") == F.col("w.mark"))).select("digest", "text")
-    tasks = _blocks(grouped, similarity, block).join(stored(found, "group-texts"), "digest")
+    found = stored(found, "group-texts")
+    parted = stored(finer_groups(grouped, found, words, block), "parted")
+    tasks = _blocks(parted, similarity, block).join(found, "digest")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         hashes = WordHash()

@@ -337,6 +337,24 @@ def test_near_classes_against_all_pairs(spark, corpus, block):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got.collect())
 
 
+def test_a_chain_of_weak_matches_is_parted(spark):
+    """Neighbours in the chain are similar to 0.5 only; near copies in it stay together."""
+    ship(spark)
+    line = [f"v{i}" for i in range(12 * 300 + 200)]
+    texts = [" ".join(line[12 * i : 12 * i + 40]) for i in range(300)] + [" ".join(line[12 * i : 12 * i + 39]) for i in range(0, 300, 10)]
+    frame = spark.createDataFrame([(i.to_bytes(4, "big"), t) for i, t in enumerate(texts)], "digest binary, text string")
+    grouped = frame.select("digest", F.lit(b"all").alias("root"), F.lit(37).cast("long").alias("n_shingles"))
+    alone = spark.createDataFrame([(b"other", b"small", 5)], "digest binary, root binary, n_shingles long")
+    got = near_dedup.finer_groups(grouped.unionByName(alone), frame, 4, 100).collect()
+    root = {r["digest"]: r["root"] for r in got}
+    assert root[b"other"] == b"small" and len(got) == len(root)
+    assert max(Counter(root.values()).values()) <= 30
+    for k, i in enumerate(range(0, 300, 10)):
+        assert root[i.to_bytes(4, "big")] == root[(300 + k).to_bytes(4, "big")]
+    whole = near_dedup.finer_groups(grouped, frame, 4, 1000)
+    assert {r["root"] for r in whole.collect()} == {b"all"} and whole.count() == len(texts)
+
+
 def test_near_edges(docs, empty):
     out = near_dedup.keep_one(docs)
     assert out.columns == docs.columns
