@@ -17,9 +17,9 @@ def value_counts(df: DataFrame, column: str, name: str = "rows") -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins over [min, max]; the maximum belongs to the last bin. Empty bins are absent."""
     present = df.filter(F.col(column).isNotNull())
-    low = present.agg(F.min(column)).scalar().cast("double")
-    high = present.agg(F.max(column)).scalar().cast("double")
-    width = (high - low) / bins
+    ends = present.agg(F.struct(F.min(column).cast("double").alias("low"), F.max(column).cast("double").alias("high")).alias("ends")).scalar()
+    low = ends["low"]
+    width = (ends["high"] - low) / bins
     place = F.when(width > 0, F.floor((F.col(column) - low) / width)).otherwise(0)
     binned = present.select(*by, F.least(place, F.lit(bins - 1)).cast("long").alias("bin"))
     counted = binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("rows"))
