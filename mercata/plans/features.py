@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..fixed import CANCELLED, CHURN_HORIZON_DAYS, LATE, TRAFFIC_TOLERANCE_MINUTES
 from ..functions import (
-    average, combine_date_time, day_micros, distance_km, is_completed, mismatch_null_counts, pct2, present, ratio, tenure_days,
+    combine_date_time, day_micros, distance_km, is_completed, mismatch_null_counts, pct2, present, ratio, tenure_days,
     time_part_columns,
 )
 from ..operators.aggregates import basket, daily_conditions
@@ -151,33 +151,53 @@ def churn_snapshot(orders: DataFrame, horizon: int = CHURN_HORIZON_DAYS) -> Data
 
 
 def churn_history(orders: DataFrame, snapshot: Column, horizon: int = CHURN_HORIZON_DAYS) -> DataFrame:
-    """All history measures and the outcome flag, one group-by over the orders.
+    """All history measures and the outcome flag of every customer with orders.
 
-    ``_later`` counts the orders of the outcome window, whatever their status.
+    Orders are first summed per customer, restaurant and method, so that a customer who holds a third of all orders
+    arrives as few rows. One row of every restaurant, and one of every method, is marked; their sums are the distinct
+    counts. ``_later`` counts the orders of the outcome window, whatever their status.
     """
     past = F.col("OrderDate") <= snapshot
     done = past & is_completed(F.col("OrderStatus"))
 
-    def of_past(c: str) -> Column:
-        return F.when(past, F.col(c))
-
-    def of_done(c: str) -> Column:
-        return F.when(done, F.col(c))
-
-    n = F.count_if(past)
-    return orders.groupBy("CustomerID").agg(
-        F.max(of_past("OrderDate")).alias("LastOrderDate"),
-        n.alias("_past"),
-        F.count_if(done).alias("_done"),
-        F.sum(of_done("FinalAmount")).alias("_spend"),
-        average(of_done("FinalAmount")).alias("AvgOrderValue"),
-        average(of_done("DeliveryTimeMinutes")).alias("AvgDeliveryMinutes"),
-        ratio(F.count_if(past & (F.col("OrderStatus") == CANCELLED)), n).alias("CancellationRate"),
-        ratio(F.count_if(past & (F.col("OrderStatus") == LATE)), n).alias("LateRate"),
-        F.count_distinct(of_past("RestaurantID")).alias("_variety"),
-        F.count_distinct(of_past("PaymentMethod")).alias("_methods"),
-        average(of_past("Discount")).alias("AvgDiscount"),
-        F.count_if((F.col("OrderDate") > snapshot) & (F.col("OrderDate") <= F.date_add(snapshot, horizon))).alias("_later"),
+    def of(cond: Column, c: str) -> Column:
+        return F.when(cond, F.col(c))
+
+    means = {
+        "AvgOrderValue": of(done, "FinalAmount"),
+        "AvgDeliveryMinutes": of(done, "DeliveryTimeMinutes"),
+        "AvgDiscount": of(past, "Discount"),
+    }
+    counts = {
+        "_past": past,
+        "_done": done,
+        "_cancelled": past & (F.col("OrderStatus") == CANCELLED),
+        "_late": past & (F.col("OrderStatus") == LATE),
+        "_later": (F.col("OrderDate") > snapshot) & (F.col("OrderDate") <= F.date_add(snapshot, horizon)),
+    }
+    parts = orders.groupBy("CustomerID", "RestaurantID", "PaymentMethod").agg(
+        F.max(of(past, "OrderDate")).alias("LastOrderDate"),
+        *[F.count_if(c).alias(name) for name, c in counts.items()],
+        *[F.sum(c).alias(f"{name}_sum") for name, c in means.items()],
+        *[F.count(c).alias(f"{name}_n") for name, c in means.items()],
+    )
+
+    def one_of_each(column: str, other: str) -> Column:
+        seen = F.col("_past") > 0
+        nth = F.row_number().over(Window.partitionBy("CustomerID", column).orderBy(seen.desc(), other))
+        return seen & F.col(column).isNotNull() & (nth == 1)
+
+    parts = parts.withColumn("_new_place", one_of_each("RestaurantID", "PaymentMethod"))
+    parts = parts.withColumn("_new_method", one_of_each("PaymentMethod", "RestaurantID"))
+    return parts.groupBy("CustomerID").agg(
+        F.max("LastOrderDate").alias("LastOrderDate"),
+        *[F.sum(name).alias(name) for name in ("_past", "_done", "_later")],
+        F.sum("AvgOrderValue_sum").alias("_spend"),
+        *[ratio(F.sum(f"{name}_sum"), F.sum(f"{name}_n")).alias(name) for name in means],
+        ratio(F.sum("_cancelled"), F.sum("_past")).alias("CancellationRate"),
+        ratio(F.sum("_late"), F.sum("_past")).alias("LateRate"),
+        F.count_if("_new_place").alias("_variety"),
+        F.count_if("_new_method").alias("_methods"),
     )
 
 

@@ -1,11 +1,12 @@
 from datetime import date, datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from mercata.functions import (
     clean_label, coerce_numeric, combine_date_time, day_micros, distance_km, epoch_micros, geo_bounds_flag, is_close,
-    mismatch_null_counts, mismatch_null_ignored, normalize_city, parse_mixed_date, parse_time, pct2, ratio2, tenure_days,
+    mismatch_null_counts, mismatch_null_ignored, normalize_city, parse_mixed_date, parse_time, pct2, ratio2, tenure_days, textual_date,
 )
 
 DATES = [
@@ -29,6 +30,34 @@ DATES = [
 ]
 
 
+TEXTUAL = [
+    "18 March 2024", "18 Mar 2024", "18-Mar-2024", "18/Mar/24", "18mar2024", "March 18, 2024", "March 18 2024", "Mar 18, 24", "2024-Mar-18",
+    "2024 March 18", "Monday, 18 March 2024", "Mon 18 Mar 2024", "Mon, Mar 18, 2024", "18th March 2024", "March 3rd, 2024", "1st of May", "Sept 9, 2024",
+    "20240318", "20240318T101112", "2024-03-18 10:11", "2024-03-18T10:11:12", "2024-03-18T10:11:12.345678", "2024-03-18T23:30:00Z",
+    "2024-03-18 23:30:00+05:30", "2024-03-18T23:30:00.5-0800", "2024/03/18 10:11:12", "18 March 2024 10:30 PM", "March 18, 2024 5 pm",
+    "10:30 18 March 2024", "10:30 PM March 18, 2024", "03/18/24", "18/03/24", "03/04/24", "99/03/18", "03/04/2024 10:30", "18/03/2024 10:30",
+    "03/18/2024 1:05 PM", "12/31/75", "12/31/80", "March 2024", "2024-03", "18 March 2024 25:00", "18 March 2024 10:61", "31 Feb 2024", "32 March 2024",
+    "Foo 18, 2024", "18 Marsh 2024", "hello 2024-03-18", "2024-02-30 10:00", "August 5 2024 10:00", "29 Feb 2023", "29 Feb 2024", "Sunday", "10:30",
+]
+# Text without a year or a day's name means "today" to pandas, and words are left over in others; both name no day here.
+NO_DAY = {"1st of May", "Sunday", "10:30", "hello 2024-03-18"}
+
+
+def test_textual_dates_agree_with_pandas(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTUAL)], "i int, v string")
+    got = [r["d"] for r in df.select("i", textual_date(F.col("v")).alias("d")).orderBy("i").collect()]
+
+    def want(text):
+        if text in NO_DAY:
+            return None
+        try:
+            return pd.to_datetime(text).normalize().date()
+        except ValueError:
+            return None
+
+    assert dict(zip(TEXTUAL, got)) == {t: want(t) for t in TEXTUAL}
+
+
 def one(spark, value, fn, kind="string"):
     return spark.createDataFrame([(value,)], f"v {kind}").select(fn(F.col("v")).alias("r")).first()["r"]
 

@@ -57,6 +57,11 @@ def test_hot_keys_do_not_change_the_plan(spark):
     assert "_part" in text and not re.search(r"Window \[[^\]]*\], \[CustomerID", text)
 
 
+def test_churn_history_does_not_multiply_orders(spark):
+    """Distinct counts come from marked rows of a first aggregate, not from copies of every order."""
+    assert "Expand" not in plan(QUERIES["churn_features_all"](spark, SF))
+
+
 def test_group_limits_before_the_shuffle(spark):
     t = Roles(spark, SF)
     text = plan(top_within(t.items, ["FoodItemID"], "TotalPrice", 3))
