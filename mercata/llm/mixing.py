@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import stored
 from .common import WORD, null_safe, spare_name
@@ -100,22 +100,32 @@ def fit_budget(counts: dict[int, int], budget: int, exact_words: int = EXACT_WOR
     return taken
 
 
+def row_prints(docs: DataFrame) -> list[Column]:
+    """128 bits that tell whole rows apart, as two hashes. Hashes pass over nulls, so it is told which columns are null;
+    columns that hold others go in as JSON, which also serves maps."""
+    parts = []
+    for field in docs.schema:
+        c = F.col(f"`{field.name}`")
+        holds_others = isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType)
+        parts += [c.isNull(), F.to_json(F.struct(c)) if holds_others else c]
+    return [F.xxhash64(F.lit(start), *parts) for start in (1, 2)]
+
+
 def mix_counts(
     docs: DataFrame, weights: Iterable[float] = WEIGHTS, share: float = 1.0, passes: int = MAX_PASSES, seed: int = 17,
-    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: list[str] | None = None,
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", prints: Iterable[Column] = (),
 ) -> DataFrame:
     """id, source, size, source_size, target, copies, taken (copies x size), one row per row of ``docs``.
 
     A null text has no words. A null source is a source of its own, the last. No document is taken more than
     ``passes`` times; documents without words are taken in whole passes only. Rows that repeat an identifier are
-    documents of their own, ranked by a hash of the columns that are carried. ``carry`` keeps columns, as one struct named "row".
+    documents of their own, ranked by ``prints``, which follow as print0, print1, ...; texts are not carried.
     """
-    names = [c for c in docs.columns if carry and c in carry]
-    told = [F.col(f"`{f.name}`") for f in docs.schema if f.name in names and "map<" not in f.dataType.simpleString()]  # maps have no hash
+    told = {f"print{i}": c for i, c in enumerate(prints)}
+    rank = told or {"print0": F.lit(0)}
     picked = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"),
-        *([F.struct(*names).alias("row")] if names else []),
-        (F.xxhash64(*told) if told else F.lit(0)).alias("print"),
+        *[c.alias(name) for name, c in rank.items()],
     )
     draw = F.xxhash64(F.lit(seed), F.col("id"))
     sized = stored(picked.withColumns({"draw": draw, "bucket": F.pmod(F.shiftright(draw, 20), F.lit(BUCKETS))}), "mix-sizes")
@@ -140,13 +150,13 @@ def mix_counts(
     plan = o.join(f, null_safe("o", "f", ["source", "size"])).select("o.source", "o.size", "bucket", "before", "done", "extra")
     pl, t2 = plan.alias("pl"), targets.alias("t2")
     plan = pl.join(t2, null_safe("pl", "t2", ["source"])).select("pl.*", "source_size", "target")
-    in_bucket = Window.partitionBy("source", "size", "bucket").orderBy("draw", "id", "print")
+    in_bucket = Window.partitionBy("source", "size", "bucket").orderBy("draw", "id", *rank)
     ranked = sized.withColumn("place", F.row_number().over(in_bucket)).alias("r")
     copies = F.col("done") + F.when(F.col("before") + F.col("place") <= F.col("extra"), 1).otherwise(0)
     out = ranked.join(plan.alias("q"), null_safe("r", "q", ["source", "size", "bucket"]))
     return out.select(
         F.col("r.id").alias("id"), F.col("r.source").alias("source"), F.col("r.size").alias("size"), "source_size", "target",
-        copies.cast("long").alias("copies"), (copies * F.col("r.size")).cast("long").alias("taken"), *(["r.row"] if names else []),
+        copies.cast("long").alias("copies"), (copies * F.col("r.size")).cast("long").alias("taken"), *[f"r.{name}" for name in told],
     )
 
 
@@ -154,8 +164,24 @@ def mix(
     docs: DataFrame, weights: Iterable[float] = WEIGHTS, share: float = 1.0, passes: int = MAX_PASSES, seed: int = 17,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them (0 to ``passes`` times), all columns as they were."""
-    spare = spare_name(docs, "copies")
-    out = mix_counts(docs, weights, share, passes, seed, id_col, text_col, source_col, carry=docs.columns)
-    many = out.where("copies > 0").withColumn(spare, F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return many.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    """The rows of ``docs`` as often as the mix takes them (0 to ``passes`` times), all columns as they were.
+
+    It is decided on identifiers, lengths and hashes of the rows; whole rows meet the decision once. Equal rows are
+    interchangeable: their copies are added up and made of one of them. ``docs`` is read more than once and must
+    give the same rows each time, as a table does.
+    """
+    one, two, copies, row = (spare_name(docs, wish) for wish in ("print_one", "print_two", "copies", "whole_row"))
+    decided = mix_counts(docs, weights, share, passes, seed, id_col, text_col, source_col, row_prints(docs))
+    added_up = decided.groupBy(F.col("print0").alias(one), F.col("print1").alias(two)).agg(
+        F.sum("copies").alias(copies), F.count(F.lit(1)).alias("rows")
+    )
+    taken = stored(added_up.where(F.col(copies) > 0), "mix-taken")
+    # a table of its own, so that Spark knows beforehand how small it is: mostly nothing
+    repeated = stored(taken.where("rows > 1").drop("rows"), "mix-repeated")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.withColumns(dict(zip((one, two), row_prints(docs))))
+    alone = marked.join(taken.where("rows = 1").drop("rows"), [one, two]).select(*columns, copies)
+    equals = marked.join(repeated, [one, two]).groupBy(one, two, copies).agg(F.first(F.struct(*columns)).alias(row))
+    equals = equals.select(*[F.col(f"{row}.`{c}`").alias(c) for c in docs.columns], copies)
+    many = alone.unionByName(equals).withColumn(one, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    return many.select(*columns)

@@ -251,7 +251,7 @@ def filled_targets(sizes, weights, passes):
 @pytest.mark.parametrize("weights", [(1, 2, 3), (1, 50, 1000)])
 def test_mixing(corpus, docs, empty, weights):
     for frame in (corpus, docs):
-        first = mixing.mix_counts(frame, weights).drop("row")
+        first = mixing.mix_counts(frame, weights)
         got = first.toPandas()
         assert len(got) == frame.count()
         texts = [r["text"] or "" for r in frame.collect()]
@@ -264,7 +264,7 @@ def test_mixing(corpus, docs, empty, weights):
             assert own["target"].iloc[0] == pytest.approx(want[name]) and (own["source_size"] == sizes[name]).all()
             spread = max(own["size"].max(), 1)
             assert abs(own["taken"].sum() - want[name]) <= (1 if len(own) > 20 else spread)
-        again = mixing.mix_counts(frame.repartition(5), weights).drop("row")
+        again = mixing.mix_counts(frame.repartition(5), weights)
         assert counted(again, "id", "size", "copies") == counted(first, "id", "size", "copies")
     assert mixing.mix_counts(empty).count() == 0 and mixing.mix(empty).columns == empty.columns
     mixed = mixing.mix(docs, weights)
@@ -279,6 +279,20 @@ def test_mix_repeats_itself_with_one_identifier(spark):
     assert sum(taken[0].values()) == 20 and taken[0] == taken[1] == taken[2]
 
 
+def test_mix_adds_up_equal_rows_and_tells_nulls_apart(spark):
+    """Equal rows come as often as the decision says in all; rows that differ only in which column is null stay apart."""
+    ship(spark)
+    equal = [(1, "a b c d", "x", None, "k", [1])] * 30
+    other = [(2, "a b c d", "x", "k", None, [1])] * 2 + [(2, "a b c d", "x", None, "k", [1]), (None, None, "x", None, None, None)]
+    rows = spark.createDataFrame(equal + other, "doc_id long, text string, source string, copies string, row string, rows array<int>")
+    decided = mixing.mix_counts(rows, share=1.7).groupBy("id").agg(F.sum("copies").alias("n"), F.min("copies").alias("least"))
+    want = {r["id"]: (r["n"], r["least"]) for r in decided.collect()}
+    mixed = mixing.mix(rows, share=1.7)
+    got = mixed.collect()
+    assert mixed.columns == rows.columns and len(got) == sum(n for n, _ in want.values()) and want[1][0] > 30
+    assert sum(r["doc_id"] == 1 for r in got) == want[1][0] and {str(r) for r in got} == {str(r) for r in rows.collect()}
+
+
 def test_exact_fill_against_all_sums():
     rng = np.random.default_rng(2)
     for _ in range(60):
