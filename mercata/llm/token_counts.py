@@ -37,7 +37,8 @@ _CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 class PrefixCounter:
     """Count tables for a byte-level pair tokenizer with an end-of-word mark that drops white space."""
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 96 << 20, nodes: int = 600_000):
+        """``limit``: bytes of each cache; ``nodes``: word beginnings that are kept."""
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         style, pattern = _style(spec)
@@ -56,10 +57,10 @@ class PrefixCounter:
         self.is_whole = Bounded(lambda t: self.merged(self.symbols(t)) == [t], limit)
         self.left_edge = Bounded(lambda t: self._edge(t, 0), limit)
         self.right_edge = Bounded(lambda t: self._edge(t, 1), limit)
-        self.stands = Bounded(self._stands, 2 * limit)
-        self.pieces = Bounded(self._piece, 2 * limit)
-        self.chunks = Bounded(self._chunk, 2 * limit)
-        self.most_nodes = 3 * limit
+        self.stands = Bounded(self._stands, limit)
+        self.pieces = Bounded(self._piece, limit)
+        self.chunks = Bounded(self._chunk, limit)
+        self.most_nodes = nodes
         self._forget()
 
     def _tails(self, closed: bool) -> dict[str, str]:

@@ -139,6 +139,17 @@ def test_prefix_counts_every_prefix():
         assert counts == [len(own.tok.encode(normal[:i], add_special_tokens=False).ids) for i in range(1, len(normal) + 1)], repr(text)
 
 
+def test_prefix_counter_remembers_a_vocabulary_of_words():
+    own, made = token_counts.PrefixCounter(WORD), Counter()
+    text = " ".join(f"w{i:x}x" for i in range(6000))
+    for name in ("is_whole", "stands", "pieces", "chunks"):
+        cache = getattr(own, name)
+        cache.make = lambda key, name=name, make=cache.make: made.update([name]) or make(key)
+    first = own.steps(text)
+    once = dict(made)
+    assert own.steps(text) == first and dict(made) == once  # nothing is worked out a second time
+
+
 def test_prefix_table(docs, empty):
     library = Tokenizer.from_file(WORD)
     tables = token_counts.prefix_table(docs, WORD)
