@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mercata.catalog import QUERIES
+from mercata.catalog.feature_queries import domain_tables
 from mercata.catalog.roles import Roles
 from mercata.operators.ordering import top_within
 from mercata.plans import features, kpis
@@ -51,6 +52,13 @@ def test_no_job_while_planning(spark, build):
         spark.sparkContext.setJobGroup("after", "")
 
 
+def test_delivery_features_build_the_orders_and_the_wide_rows_once(spark):
+    """The histories and the traffic search read written orders; neither builds the wide rows again."""
+    table = features.delivery_features(domain_tables(Roles(spark, SF)))
+    text = table._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[o_orderkey", text)) == 1  # the registration dates of the customers
+
+
 def test_hot_keys_do_not_change_the_plan(spark):
     """The one plan holds windows inside (key, bucket) only; no window holds a whole customer."""
     text = plan(QUERIES["lag_lead"](spark, SF))
@@ -90,3 +98,19 @@ def test_facts_are_reduced_before_the_dimension_join(spark):
     text = plan(QUERIES["restaurant_scorecard"](spark, SF))
     join = min(text.find(k) for k in ("BroadcastHashJoin [RestaurantID", "SortMergeJoin [RestaurantID", "ShuffledHashJoin [RestaurantID") if k in text)
     assert "HashAggregate(keys=[RestaurantID" in text[join:]
+
+
+def test_texts_are_read_once(spark):
+    from mercata.catalog.cleaning_queries import raw_tables
+    from mercata.functions import normalize_city
+    from mercata.plans.cleaning import numeric
+    from mercata.plans.domain import NUMBERS
+
+    def expressions(df) -> str:
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    t = Roles(spark, SF)
+    assert expressions(t.dirty_cities.select(normalize_city(F.col("CityText")).alias("city"))).count("regexp_replace(") == 1
+    menu = raw_tables(t)["menu"]
+    kinds = [kind for column, kind in NUMBERS["menu"].items() if column in menu.columns]
+    assert expressions(numeric(menu, "menu")).count("RLIKE") == sum(2 if kind == "id" else 1 for kind in kinds)
