@@ -156,3 +156,45 @@ def test_registered_queries_train_with_the_real_settings(monkeypatch):
         with pytest.raises(Trained):
             run(None)
     assert used == [models.Settings()] * 4
+
+
+def test_candidates_are_fitted_side_by_side(spark):
+    from threading import Barrier
+
+    together = Barrier(3, timeout=60)
+
+    class Waits:
+        def fit(self, df):
+            together.wait()  # raises unless the three fits run at the same time
+            return df.count()
+
+    class Plain:
+        def transform(self, df):
+            return df
+
+    got = models.fit_all(spark.range(7), "y", {n: (Plain(), Waits()) for n in ("b", "a", "c")})
+    assert [(n, b.name, b.model, b.target) for n, b in got.items()] == [(n, n, 7, "y") for n in ("b", "a", "c")]
+
+
+def test_forests_keep_the_node_of_a_row(spark, churn, delivery, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    asked = []
+    for name, train, rows in (("RandomForestRegressor", models.train_delivery, delivery), ("RandomForestClassifier", models.train_churn, churn)):
+        real = getattr(models, name)
+        rf = real(numTrees=3, maxDepth=6, seed=42, minInstancesPerNode=3, **models.FOREST_RUN)
+        asked.append(rf.getCacheNodeIds())
+        x = models.fit_preprocessor(rows, ["Age" if "Age" in rows.columns else "FoodCost"], [], False).transform(rows)
+        x = x.withColumn("label", F.col("Churn60d" if "Churn60d" in rows.columns else "DeliveryTimeMinutes").cast("double"))
+        plain = real(numTrees=3, maxDepth=6, seed=42, minInstancesPerNode=3)
+        assert rf.fit(x).toDebugString.split("\n")[1:] == plain.fit(x).toDebugString.split("\n")[1:]
+
+        def spy(_real=real, **settings):
+            asked.append(settings.get("cacheNodeIds"))
+            raise Asked
+
+        monkeypatch.setattr(models, name, spy)
+        with pytest.raises(Asked):
+            train(rows, SMALL)
+    assert asked == [True] * 4
