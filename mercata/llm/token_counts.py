@@ -31,7 +31,7 @@ from .chunks import RARE_SPACE, UNUSUAL, Bounded, _style, letters_of
 LIMIT = 2048
 _SPACE_STEP = array("h", [0]).tobytes()
 #: Contractions are pieces of their own only when complete.
-_CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
+_CONTRACTIONS = frozenset(("'s", "'t", "'re", "'ve", "'m", "'ll", "'d"))
 
 
 class PrefixCounter:
@@ -139,7 +139,8 @@ class PrefixCounter:
                 break
             if token:
                 found.append((start, token))
-        for start, token in reversed(found):
+        while found:
+            start, token = found.pop()
             if self.is_whole[token] and (not start or self.stands[self.last[path[start]], token]):
                 return token, self.opened[path[start]] + 1
         raise ValueError("the vocabulary lacks a byte")
@@ -256,19 +257,26 @@ def prefix_table(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
 
 def cut_for_budget(tables: DataFrame, budget: int) -> DataFrame:
-    """Adds ``cut_chars``: the longest prefix of the normalised text that costs at most ``budget`` tokens."""
+    """Adds ``cut_chars``: the longest prefix of the normalised text that costs at most ``budget`` tokens.
+
+    Only the tables of texts over the budget are unpacked; any other text fits whole.
+    """
     if budget < 0:
         raise ValueError("a budget is not negative")
 
     @F.pandas_udf("long")
     def longest(tables: pd.Series) -> pd.Series:
         def one(table: bytes) -> int:
+            if table is None:
+                return 0
             fits = np.nonzero(unpack(table) <= budget)[0]
             return int(fits[-1]) + 1 if len(fits) else 0
 
         return tables.map(one).astype("int64")
 
-    return tables.withColumn("cut_chars", longest("prefix_steps"))
+    over = F.col("n_tokens") > budget
+    cut = longest(F.when(over, F.col("prefix_steps")))
+    return tables.withColumn("cut_chars", F.when(over, cut).otherwise(F.col("n_chars")))
 
 
 def cost_of_prefix(tables: DataFrame, chars_col: str) -> DataFrame:

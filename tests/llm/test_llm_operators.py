@@ -556,3 +556,11 @@ def test_windows_score_as_by_themselves(corpus):
         logits = (model.weights[at].sum(axis=0) / np.sqrt(len(at)) + model.bias) / model.temperature
         odds = np.exp(logits - logits.max())
         assert np.allclose(chance, odds / odds.sum(), rtol=1e-5)
+
+
+def test_tables_of_texts_within_the_budget_are_not_unpacked(spark):
+    rows = spark.createDataFrame([(1, 5, 3, bytearray(b"no table")), (2, 0, 0, bytearray(b"")), (None, 9, 7, bytearray(b"no table"))],
+                                 "doc_id int, n_chars long, n_tokens long, prefix_steps binary")
+    cut = token_counts.cut_for_budget(rows, 7)
+    assert sorted((r["n_chars"], r["cut_chars"]) for r in cut.collect()) == [(0, 0), (5, 5), (9, 9)]
+    assert dict(cut.dtypes)["cut_chars"] == "bigint"
