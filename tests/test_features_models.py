@@ -1,5 +1,6 @@
 """Feature tables and models on small tables: leakage, splits, saved bundles, scoring."""
 
+import time
 from datetime import date, timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from mercata.catalog.feature_queries import churn_all, domain_tables
 from mercata.catalog.roles import Roles
 from mercata.operators.metrics import regression_metrics
 from mercata.plans import features, models
-from mercata.session import stored
+from mercata.session import RELEASE, settled, stored
 
 SF = "/root/testdata/sf0.001"
 SMALL = models.Settings(trees=5, depth=4, boosting_rounds=3, boosting_depth=3, max_iter=30)
@@ -198,3 +199,39 @@ def test_forests_keep_the_node_of_a_row(spark, churn, delivery, monkeypatch):
         with pytest.raises(Asked):
             train(rows, SMALL)
     assert asked == [True] * 4
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_settled_leaves_no_shuffle_files(spark):
+    df = spark.range(20_000).withColumn("x", F.col("id") % 7).repartition(4, "x")
+    setting, before = spark.conf.get(RELEASE, None), shuffle_files(spark)
+    got = settled(df, "test-settled")
+    for _ in range(100):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left and got.count() == 20_000 and got.dtypes == df.dtypes and spark.conf.get(RELEASE, None) == setting
+
+
+def test_lines_are_read_before_the_features_are(spark):
+    """Lines, readings and weather are met in runs of their own: the table's plan has none of their shuffles left."""
+    plan = features.delivery_features(domain_tables(Roles(spark, SF)))._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan and "FileScan" in plan
+
+
+def test_look_ups_of_repeated_rows(spark):
+    """Repeated customers and restaurants multiply their orders as a join of whole rows does, each with its own city's weather."""
+    t = domain_tables(Roles(spark, SF))
+    plain = features.delivery_features(t).cache()
+    n, place = plain.count(), plain.filter("RestaurantCity IS NOT NULL").groupBy("RestaurantID").count().orderBy("count").first()
+    t["customers"] = t["customers"].unionAll(t["customers"])
+    t["restaurants"] = t["restaurants"].unionAll(t["restaurants"].filter(F.col("RestaurantID") == place["RestaurantID"]).withColumn("City", F.lit("Nowhere")))
+    got = features.delivery_features(t)
+    assert got.count() == 2 * (n + place["count"])
+    moved = got.filter("RestaurantCity = 'Nowhere'").agg(F.count(F.lit(1)).alias("n"), F.count("Temperature").alias("t"), F.count("TrafficLevel").alias("l")).first()
+    assert tuple(moved) == (2 * place["count"], 0, 0)
+    plain.unpersist()
