@@ -4,6 +4,9 @@ import time
 from datetime import date, timedelta
 
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from mercata.catalog.feature_queries import churn_all, domain_tables
@@ -235,3 +238,21 @@ def test_look_ups_of_repeated_rows(spark):
     moved = got.filter("RestaurantCity = 'Nowhere'").agg(F.count(F.lit(1)).alias("n"), F.count("Temperature").alias("t"), F.count("TrafficLevel").alias("l")).first()
     assert tuple(moved) == (2 * place["count"], 0, 0)
     plain.unpersist()
+
+
+def test_forest_of_groups_is_a_forest(spark, tmp_path):
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.range(4000).select((F.col("id") % 40).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"))
+    ).withColumn("label", F.col("a") * 2 + F.col("b")).repartition(6, "a")
+    forest = RandomForestRegressor(numTrees=7, maxDepth=6, seed=42, minInstancesPerNode=3)
+    grouped = models.GroupedForest(forest, 4000)
+    assert grouped.parts(6) == 1 and models.GroupedForest(forest, 335_000).parts(6) == 2 and models.GroupedForest(forest, 30_000_000).parts(6) == 30
+    model = grouped.fit(df)
+    texts = [t.toDebugString.split("\n", 1)[1] for t in model.trees]
+    assert model.getNumTrees == len(texts) == 7 and len(set(texts)) == 7 and model.numFeatures == 2
+    found = [r["prediction"] for r in model.transform(df).orderBy("a", "b").collect()]
+    each = [[r["prediction"] for r in t.transform(df).orderBy("a", "b").collect()] for t in model.trees]
+    assert all(abs(x - sum(parts) / 7) < 1e-9 for x, parts in zip(found, zip(*each)))
+    PipelineModel([model]).write().overwrite().save(str(tmp_path / "m"))
+    loaded = PipelineModel.load(str(tmp_path / "m")).stages[0]
+    assert [r["prediction"] for r in loaded.transform(df).orderBy("a", "b").collect()] == found
